@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlume.functions.rounding import round_exact
@@ -23,35 +23,24 @@ LOWEST_TIER = "Low"
 COUNTS = ("likes", "retweets", "replies", "views")
 
 
-def weighted_score(counts: Mapping[str, Column],
-                   weights: Mapping[str, float] = WEIGHTS) -> Column:
-    total = None
-    for name in COUNTS:
-        part = counts[name] * F.lit(float(weights[name]))
-        total = part if total is None else total + part
-    return total
+def weighted_score(weights: Mapping[str, float] = WEIGHTS) -> str:
+    return " + ".join(f"_{name} * {float(weights[name])!r}D" for name in COUNTS)
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """0.0 unless the denominator is positive."""
-    return F.when(denominator > 0, numerator / denominator).otherwise(F.lit(0.0))
+    return f"CASE WHEN {denominator} > 0 THEN ({numerator}) / ({denominator}) ELSE 0D END"
 
 
-def hours_since(posted_at: Column, as_of: Column) -> Column:
-    return (F.unix_micros(as_of) - F.unix_micros(posted_at)) / F.lit(1e6) / F.lit(3600.0)
+def percentile(score: str) -> str:
+    scaled = f"least({PERCENTILE_CAP!r}D, log10({score} + 1D) * {PERCENTILE_PER_DECADE!r}D)"
+    return f"CASE WHEN {score} > 0 THEN {scaled} ELSE 0D END"
 
 
-def percentile(score: Column) -> Column:
-    scaled = F.log10(score + 1) * PERCENTILE_PER_DECADE
-    return F.when(score > 0, F.least(F.lit(PERCENTILE_CAP), scaled)).otherwise(F.lit(0.0))
-
-
-def tier(unrounded_percentile: Column) -> Column:
-    ladder = None
-    for bound, name in TIERS:
-        hit = unrounded_percentile >= bound
-        ladder = F.when(hit, name) if ladder is None else ladder.when(hit, name)
-    return ladder.otherwise(LOWEST_TIER)
+def tier(unrounded_percentile: str) -> str:
+    steps = " ".join(f"WHEN {unrounded_percentile} >= {bound} THEN '{name}'"
+                     for bound, name in TIERS)
+    return f"CASE {steps} ELSE '{LOWEST_TIER}' END"
 
 
 def with_engagement(df: DataFrame, as_of: datetime,
@@ -59,30 +48,31 @@ def with_engagement(df: DataFrame, as_of: datetime,
     """Add the seven engagement columns.
 
     Reads ``likes``, ``retweets``, ``replies``, ``views`` (NULL counts as 0) and
-    the timestamp ``posted_at``. The three steps are separate selects so that
-    each metric is computed once and the rounding refers to plain columns.
+    the timestamp ``posted_at``. Each step is a select of its own, so that a
+    metric is computed once however often the next step refers to it.
     """
-    count = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in COUNTS}
-    interactions = count["likes"] + count["retweets"] + count["replies"]
-    elapsed = hours_since(F.col("posted_at"), instant(as_of))
-
-    raw = df.withColumns({
-        "_score": weighted_score(count, weights),
-        "_rate": ratio(interactions, count["views"]),
-        "_virality": ratio(count["retweets"], interactions),
-        "_quality": ratio(count["replies"] + count["retweets"], count["likes"]),
-        "_hours": elapsed,
+    counts = df.withColumns({
+        **{f"_{name}": F.expr(f"coalesce(CAST({name} AS DOUBLE), 0D)") for name in COUNTS},
+        "_hours": (F.unix_micros(instant(as_of)) - F.unix_micros("posted_at"))
+        / F.lit(1e6) / F.lit(3600.0),
+    })
+    interactions = "_likes + _retweets + _replies"
+    raw = counts.withColumns({
+        "_score": F.expr(weighted_score(weights)),
+        "_rate": F.expr(ratio(interactions, "_views")),
+        "_virality": F.expr(ratio("_retweets", interactions)),
+        "_quality": F.expr(ratio("_replies + _retweets", "_likes")),
     }).withColumns({
-        "_hourly": F.when(F.col("_hours") > 0, F.col("_score") / F.col("_hours"))
-                    .otherwise(F.lit(0.0)),
-        "_percentile": percentile(F.col("_score")),
+        "_hourly": F.expr(ratio("_score", "_hours")),
+        "_percentile": F.expr(percentile("_score")),
     })
     return raw.withColumns({
-        "engagement_score": round_exact(F.col("_score"), 2),
-        "engagement_rate": round_exact(F.col("_rate"), 4),
-        "virality_score": round_exact(F.col("_virality"), 4),
-        "interaction_quality": round_exact(F.col("_quality"), 4),
-        "time_adjusted_score": round_exact(F.col("_hourly"), 2),
-        "percentile_score": round_exact(F.col("_percentile"), 2),
-        "engagement_tier": tier(F.col("_percentile")),
-    }).drop("_score", "_rate", "_virality", "_quality", "_hours", "_hourly", "_percentile")
+        "engagement_score": round_exact("_score", 2),
+        "engagement_rate": round_exact("_rate", 4),
+        "virality_score": round_exact("_virality", 4),
+        "interaction_quality": round_exact("_quality", 4),
+        "time_adjusted_score": round_exact("_hourly", 2),
+        "percentile_score": round_exact("_percentile", 2),
+        "engagement_tier": F.expr(tier("_percentile")),
+    }).drop(*[f"_{name}" for name in COUNTS], "_hours", "_score", "_rate", "_virality",
+            "_quality", "_hourly", "_percentile")

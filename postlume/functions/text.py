@@ -42,14 +42,19 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
-def keep(words: Column, vocabulary: Iterable[str]) -> Column:
-    """The elements found in ``vocabulary``, repeats kept.
+def quoted(words: Iterable[str]) -> str:
+    """The words as a list of SQL literals."""
+    return ", ".join("'" + word.replace("\\", "\\\\").replace("'", "\\'") + "'"
+                     for word in sorted(words))
 
-    ``isin`` on more than a handful of literals becomes a hash set, so this is
+
+def keep(name: str, vocabulary: Iterable[str]) -> Column:
+    """The elements of the array column found in ``vocabulary``, repeats kept.
+
+    ``IN`` with more than a handful of literals becomes a hash set, so this is
     one pass over the array however long the vocabulary is.
     """
-    known = sorted(vocabulary)
-    return F.filter(words, lambda word: word.isin(known))
+    return F.expr(f"filter({name}, word -> word IN ({quoted(vocabulary)}))")
 
 
 def with_most_frequent(df: DataFrame, words: Column, k: int, name: str) -> DataFrame:
@@ -61,36 +66,33 @@ def with_most_frequent(df: DataFrame, words: Column, k: int, name: str) -> DataF
     Catalyst inlines what is used once, also into a lambda that runs per element.
     """
     df = df.withColumn("_sorted", F.sort_array(words))
-    ordered = F.col("_sorted")
-    df = df.withColumn("_starts", F.filter(
-        F.transform(ordered, lambda word, i: F.when(
-            (i == 0) | (word != F.get(ordered, i - 1)), i)),
-        lambda i: i.isNotNull()))
-    starts, size = F.col("_starts"), F.size(ordered)
-    stops = F.concat(F.slice(starts, 2, F.greatest(size, F.lit(1))), F.array(size))
-    df = df.withColumn("_spans", F.arrays_zip(starts.alias("start"), stops.alias("stop")))
+    df = df.withColumn("_starts", F.expr("""
+        filter(transform(_sorted, (word, i) ->
+                   CASE WHEN i = 0 OR word <> get(_sorted, i - 1) THEN i END),
+               i -> i IS NOT NULL)"""))
+    stops = "concat(slice(_starts, 2, greatest(size(_sorted), 1)), array(size(_sorted)))"
+    df = df.withColumn("_spans", F.arrays_zip(F.col("_starts").alias("start"),
+                                              F.expr(stops).alias("stop")))
     # Words that occur once matter only if fewer than k occur more often.
-    df = df.withColumn("_repeated", F.filter(
-        F.col("_spans"), lambda span: span["stop"] - span["start"] > 1))
-    counted = F.when(F.size("_repeated") >= k, F.col("_repeated")).otherwise(F.col("_spans"))
-    ranked = F.sort_array(F.transform(counted, lambda span: F.struct(
-        (span["start"] - span["stop"]).alias("rank"),
-        F.get(ordered, span["start"]).alias("word"))))
-    top = F.transform(F.slice(ranked, 1, k), lambda run: run["word"])
-    return df.withColumn(name, F.filter(top, lambda word: word.isNotNull())) \
-        .drop("_sorted", "_starts", "_spans", "_repeated")
-
-
-def phrases(words: Column, first_words: Iterable[str]) -> Column:
-    """Distinct one- to three-word phrases that start with one of ``first_words``."""
-    known = sorted(first_words)
-    starts = F.filter(
-        F.transform(words, lambda word, i: F.when(word.isin(known), i)),
-        lambda i: i.isNotNull())
-
-    def from_start(i: Column) -> Column:
-        one, two, three = (F.get(words, i + k) for k in range(3))
-        pair = F.concat(one, F.lit(" "), two)
-        return F.array(one, pair, F.concat(pair, F.lit(" "), three))
-
-    return F.array_distinct(F.array_compact(F.flatten(F.transform(starts, from_start))))
+    df = df.withColumn("_repeated", F.expr("filter(_spans, s -> s.stop - s.start > 1)"))
+    df = df.withColumn(name, F.expr(f"""
+        filter(transform(slice(sort_array(transform(
+                   CASE WHEN size(_repeated) >= {k} THEN _repeated ELSE _spans END,
+                   s -> struct(s.start - s.stop AS rank, get(_sorted, s.start) AS word))), 1, {k}),
+                   run -> run.word),
+               word -> word IS NOT NULL)"""))
+    return df.drop("_sorted", "_starts", "_spans", "_repeated")
+
+
+def phrases(name: str, first_words: Iterable[str]) -> Column:
+    """Distinct one- to three-word phrases that start with one of ``first_words``.
+
+    ``name`` is the column of the words, in order.
+    """
+    starts = f"""filter(transform({name}, (word, i) ->
+                            CASE WHEN word IN ({quoted(first_words)}) THEN i END),
+                        i -> i IS NOT NULL)"""
+    one, two, three = (f"get({name}, i + {k})" for k in range(3))
+    return F.expr(f"""
+        array_distinct(array_compact(flatten(transform({starts}, i -> array(
+            {one}, {one} || ' ' || {two}, {one} || ' ' || {two} || ' ' || {three})))))""")

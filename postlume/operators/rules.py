@@ -20,33 +20,35 @@ from postlume.operators import lexicons as L
 _STRINGS = "array<string>"
 
 
-def _count(hits: Column, vocabulary: Iterable[str]) -> Column:
-    return F.size(X.keep(hits, vocabulary))
+def _count(vocabulary: Iterable[str]) -> Column:
+    return F.size(X.keep("_hits", vocabulary))
 
 
-def _names_hit(hits: Column, groups: Mapping[str, Iterable[str]]) -> Column:
-    """Sorted names of the groups that have a word among ``hits``."""
-    found = [F.when(F.arrays_overlap(hits, F.array(*[F.lit(w) for w in vocabulary])), F.lit(name))
-             for name, vocabulary in sorted(groups.items())]
-    return F.array_compact(F.array(*found))
+def _any(vocabulary: Iterable[str]) -> str:
+    return f"arrays_overlap(_hits, array({X.quoted(vocabulary)}))"
+
+
+def _names_hit(groups: Mapping[str, Iterable[str]]) -> str:
+    """Sorted names of the groups that have a word among the hits."""
+    found = ", ".join(f"CASE WHEN {_any(vocabulary)} THEN '{name}' END"
+                      for name, vocabulary in sorted(groups.items()))
+    return f"array_compact(array({found}))"
 
 
 def _sentiment(df: DataFrame, text: str) -> DataFrame:
     emotions = {name: L.words(listed) for name, listed in
                 {**L.POSITIVE_EMOTIONS, **L.NEGATIVE_EMOTIONS}.items()}
-    hits = F.col("_hits")
-    long_words = F.filter(F.col("_words"), lambda w: (F.length(w) >= 5)
-                          & ~w.isin(L.words(L.STOP_WORDS)))
-    df = df.withColumns({"_pos": _count(hits, L.POSITIVE), "_neg": _count(hits, L.NEGATIVE)})
-    pos, neg = F.col("_pos"), F.col("_neg")
+    long_words = F.expr("filter(_words, word -> length(word) >= 5 AND word NOT IN "
+                        f"({X.quoted(L.words(L.STOP_WORDS))}))")
+    df = df.withColumns({"_pos": _count(L.POSITIVE), "_neg": _count(L.NEGATIVE)})
     df = X.with_most_frequent(df, long_words, 3, "sentiment_topics")
-    df = df.withColumn(
-        "_balance", F.when(pos + neg > 0, F.abs(pos - neg) / (pos + neg)).otherwise(F.lit(0.0)))
+    df = df.withColumn("_balance", F.expr(
+        "CASE WHEN _pos + _neg > 0 THEN abs(_pos - _neg) / (_pos + _neg) ELSE 0D END"))
     return df.withColumns({
-        "sentiment_label": F.when(pos > neg, "positive").when(neg > pos, "negative")
-                            .otherwise("neutral"),
-        "sentiment_score": round_exact(F.col("_balance"), 4),
-        "sentiment_emotions": _names_hit(hits, emotions).cast(_STRINGS),
+        "sentiment_label": F.expr("CASE WHEN _pos > _neg THEN 'positive' "
+                                  "WHEN _neg > _pos THEN 'negative' ELSE 'neutral' END"),
+        "sentiment_score": round_exact("_balance", 4),
+        "sentiment_emotions": F.expr(_names_hit(emotions)),
     }).drop("_pos", "_neg", "_balance")
 
 
@@ -55,10 +57,10 @@ _PHRASE_STARTS = sorted({phrase.split()[0] for listed in L.GAZETTEER.values() fo
 
 def _entities(df: DataFrame, text: str) -> DataFrame:
     # Few texts hold the first word of any phrase; only those are cut into phrases.
-    begun = F.arrays_overlap(F.col("_hits"), F.array(*[F.lit(w) for w in _PHRASE_STARTS]))
-    df = df.withColumn("_phrases", F.when(begun, X.phrases(F.col("_words"), _PHRASE_STARTS))
+    begun = F.expr(_any(_PHRASE_STARTS))
+    df = df.withColumn("_phrases", F.when(begun, X.phrases("_words", _PHRASE_STARTS))
                        .otherwise(F.array().cast(_STRINGS)))
-    columns = {name: X.keep(F.col("_phrases"), phrases) for name, phrases in L.GAZETTEER.items()}
+    columns = {name: X.keep("_phrases", phrases) for name, phrases in L.GAZETTEER.items()}
     return df.withColumns({
         **columns,
         "hashtags": X.hashtags(F.col(text)),
@@ -67,52 +69,43 @@ def _entities(df: DataFrame, text: str) -> DataFrame:
 
 
 def _topic(df: DataFrame, text: str) -> DataFrame:
-    hits = F.col("_hits")
-    counts = {c: f"_n_{i}" for i, c in enumerate(L.TOPIC_WORDS)}
-    df = df.withColumns({counts[c]: _count(hits, listed) for c, listed in L.TOPIC_WORDS.items()})
-    most = F.greatest(*[F.col(n) for n in counts.values()])
-    category = F.when(most == 0, "Other")
-    for name in S.CATEGORIES:
-        if name in counts:
-            category = category.when(F.col(counts[name]) == most, name)
-    df = df.withColumn("primary_category", category).drop(*counts.values())
-
-    chosen = F.col("primary_category")
-    subs, industry = None, None
-    for name, listed in L.TOPICS.items():
-        value = _names_hit(hits, {sub: L.words(w) for sub, w in listed.items()})
-        subs = F.when(chosen == name, value) if subs is None else subs.when(chosen == name, value)
-    for name, label in L.INDUSTRIES.items():
-        industry = F.when(chosen == name, label) if industry is None \
-            else industry.when(chosen == name, label)
+    counts = {c: f"_n_{c}" for c in L.TOPIC_WORDS}
+    df = df.withColumns({counts[c]: _count(listed) for c, listed in L.TOPIC_WORDS.items()})
+    most = f"greatest({', '.join(counts.values())})"
+    ladder = " ".join(f"WHEN {counts[c]} = {most} THEN '{c}'" for c in S.CATEGORIES if c in counts)
+    df = df.withColumn("primary_category", F.expr(
+        f"CASE WHEN {most} = 0 THEN 'Other' {ladder} END")).drop(*counts.values())
+
+    subs = " ".join(
+        f"WHEN '{name}' THEN " + _names_hit({sub: L.words(w) for sub, w in listed.items()})
+        for name, listed in L.TOPICS.items())
+    industry = " ".join(f"WHEN '{name}' THEN '{label}'" for name, label in L.INDUSTRIES.items())
     all_words = L.words(*[" ".join(listed) for listed in L.TOPIC_WORDS.values()])
     return df.withColumns({
-        "sub_categories": F.coalesce(subs, F.array().cast(_STRINGS)).cast(_STRINGS),
-        "industry": industry,
-        "keywords": F.sort_array(F.array_distinct(X.keep(hits, all_words))),
-        "is_commercial": _count(hits, L.words(L.COMMERCIAL)) > 0,
-        "is_news": _count(hits, L.words(L.NEWS)) > 0,
+        "sub_categories": F.expr(
+            f"CASE primary_category {subs} ELSE CAST(array() AS {_STRINGS}) END"),
+        "industry": F.expr(f"CASE primary_category {industry} END"),
+        "keywords": F.sort_array(F.array_distinct(X.keep("_hits", all_words))),
+        "is_commercial": F.expr(_any(L.words(L.COMMERCIAL))),
+        "is_news": F.expr(_any(L.words(L.NEWS))),
     })
 
 
 def _moderation(df: DataFrame, text: str) -> DataFrame:
     flags = {name: L.words(listed) for name, listed in L.MODERATION.items()}
-    hits = F.col("_hits")
-    df = df.withColumns({
-        "_n": _count(hits, L.words(*L.MODERATION.values())),
-        "flags": _names_hit(hits, flags).cast(_STRINGS),
-    })
-    n = F.col("_n")
-    df = df.withColumn("_sure", F.when(n == 0, F.lit(1.0)).otherwise(n / (n + 1)))
-    warnings = F.create_map(*[F.lit(v) for pair in L.WARNINGS.items() for v in pair])
+    warnings = ", ".join(f"CASE WHEN {_any(flags[name])} THEN '{warning}' END"
+                         for name, warning in sorted(L.WARNINGS.items(), key=lambda item: item[1]))
+    df = df.withColumn("_n", _count(L.words(*L.MODERATION.values())))
+    df = df.withColumn("_sure", F.expr("CASE WHEN _n = 0 THEN 1D ELSE _n / (_n + 1) END"))
     return df.withColumns({
-        "is_safe": n == 0,
-        "risk_level": F.when(n == 0, "safe").when(n == 1, "low").when(n == 2, "medium")
-                       .when(n <= 4, "high").otherwise("critical"),
-        "content_warnings": F.sort_array(F.transform(F.col("flags"), lambda f: warnings[f])),
-        "recommended_action": F.when(n == 0, "none").when(n == 1, "flag").when(n <= 4, "review")
-                               .otherwise("remove"),
-        "confidence_score": round_exact(F.col("_sure"), 4),
+        "is_safe": F.expr("_n = 0"),
+        "risk_level": F.expr("CASE WHEN _n = 0 THEN 'safe' WHEN _n = 1 THEN 'low' WHEN _n = 2 "
+                             "THEN 'medium' WHEN _n <= 4 THEN 'high' ELSE 'critical' END"),
+        "flags": F.expr(_names_hit(flags)),
+        "content_warnings": F.expr(f"array_compact(array({warnings}))"),
+        "recommended_action": F.expr("CASE WHEN _n = 0 THEN 'none' WHEN _n = 1 THEN 'flag' "
+                                     "WHEN _n <= 4 THEN 'review' ELSE 'remove' END"),
+        "confidence_score": round_exact("_sure", 4),
     }).drop("_n", "_sure")
 
 
@@ -135,7 +128,7 @@ def annotate_by_rules(df: DataFrame, tasks: Iterable[str], text: str = "text") -
         return df
     df = df.withColumn("_words", X.tokens(F.coalesce(F.col(text), F.lit(""))))
     vocabulary = sorted({word for name in tasks for word in _VOCABULARY[name]})
-    df = df.withColumn("_hits", X.keep(F.col("_words"), vocabulary))
+    df = df.withColumn("_hits", X.keep("_words", vocabulary))
     for name in tasks:
         df = _RULES[name](df, text)
     return df.drop("_words", "_hits")

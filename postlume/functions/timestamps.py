@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,59 +25,67 @@ def instant(as_of: datetime) -> Column:
     return F.lit(as_of)
 
 
-def parse_iso(text: Column) -> Column:
-    """ISO-8601 text to timestamp, NULL for anything else.
+def iso_groups(name: str) -> Column:
+    """The groups of an ISO-8601 text column, by number; NULL if it is none.
 
-    Takes calendar dates and week dates, dashed or basic, with an optional time
-    behind any one separator and an optional offset; no offset means UTC. A
-    plain cast is not used: it also takes partial dates and bare times (as
-    today's), and refuses the basic forms.
+    One replacement lays out all groups at once, so that the pattern runs twice
+    per value and not once per group.
+    """
+    utc = f"replace({name}, 'Z', '+00:00')"
+    layout = "|".join(f"${i}" for i in range(1, _GROUPS + 1))
+    return F.expr(f"CASE WHEN {utc} RLIKE r'{ISO_8601}' THEN "
+                  f"split(regexp_replace({utc}, r'{ISO_8601}', '{layout}'), '[|]', -1) END")
+
+
+def iso_instant(groups: str) -> Column:
+    """The instant that the column ``groups`` (see ``iso_groups``) stands for.
 
-    One match rewrites the text to ``|``-separated groups, so that the pattern
-    runs twice per value and not once per group.
+    A calendar or a week date, any time of day, minus the offset; no offset
+    means UTC. NULL for days that do not exist.
     """
-    utc = F.replace(text, F.lit("Z"), F.lit("+00:00"))
-    groups = F.split(F.regexp_replace(utc, ISO_8601, "|".join(f"${i}" for i in range(1, _GROUPS + 1))),
-                     r"\|", -1)
-    valid = utc.rlike(ISO_8601)
-
-    def part(*numbers: int) -> Column:
-        """The first of these groups that took part in the match, as text."""
-        return F.coalesce(*[F.nullif(F.get(groups, F.lit(n - 1)), F.lit("")) for n in numbers])
-
-    def number(*numbers: int) -> Column:
-        return F.coalesce(part(*numbers).try_cast("int"), F.lit(0))
-
-    calendar = F.try_make_timestamp(
-        number(1, 4), number(2, 5), number(3, 6), F.lit(0), F.lit(0), F.lit(0), F.lit("UTC"))
-
-    week_year, week, weekday = number(7, 10), number(8, 11), \
-        F.coalesce(part(9, 12).try_cast("int"), F.lit(1))
-    jan_4 = F.try_to_timestamp(F.concat(F.lpad(week_year.cast("string"), 4, "0"), F.lit("-01-04")),
-                               F.lit("yyyy-MM-dd")).cast("date")
-    monday = F.date_add(F.trunc(jan_4, "week"), (week - 1) * 7)
-    in_year = (F.year(F.date_add(monday, 3)) == week_year) & (week >= 1) & weekday.between(1, 7)
-    week_date = F.when(in_year, F.date_add(monday, weekday - 1)).cast("timestamp")
-
-    day = F.when(part(1, 4).isNotNull(), calendar).otherwise(week_date)
-    fraction = F.substring(F.rpad(F.coalesce(part(16, 20), F.lit("0")), 6, "0"), 1, 6).cast("long")
-    seconds = number(13, 17) * 3600 + number(14, 18) * 60 + number(15, 19)
-    offset = number(22) * 3600 + number(23, 25) * 60 + number(24, 26)
-    signed = F.when(part(21) == "-", -offset).otherwise(offset)
-    micros = F.unix_micros(day) + (seconds - signed).cast("long") * 1_000_000 + fraction
-    return F.when(valid, F.timestamp_micros(micros))
-
-
-def posted_instant(column: Column, kind: T.DataType) -> Column:
-    """A source's time column as timestamp, by the type it has in the source.
-
-    Text is parsed; a timestamp without zone is UTC; a bare date, like every
-    other type, has no instant and gives NULL.
+    def part(*numbers: int) -> str:
+        """The first of these groups that took part in the match."""
+        return "coalesce(" + ", ".join(f"nullif(get({groups}, {n - 1}), '')" for n in numbers) + ")"
+
+    def number(*numbers: int, default: int = 0) -> str:
+        return f"coalesce(CAST({part(*numbers)} AS INT), {default})"
+
+    calendar = (f"try_make_timestamp({number(1, 4)}, {number(2, 5)}, {number(3, 6)}, "
+                "0, 0, 0, 'UTC')")
+    year, week, weekday = number(7, 10), number(8, 11), number(9, 12, default=1)
+    # 4 January always lies in week 1; the Thursday decides whose year a week is.
+    january = f"trunc(make_date({year}, 1, 4), 'week')"
+    monday = f"date_add({january}, ({week} - 1) * 7)"
+    week_date = (f"CASE WHEN {week} >= 1 AND {weekday} BETWEEN 1 AND 7 "
+                 f"AND year(date_add({monday}, 3)) = {year} "
+                 f"THEN CAST(date_add({monday}, {weekday} - 1) AS TIMESTAMP) END")
+    day = f"CASE WHEN {part(1, 4)} IS NOT NULL THEN {calendar} ELSE {week_date} END"
+
+    seconds = f"{number(13, 17)} * 3600 + {number(14, 18)} * 60 + {number(15, 19)}"
+    offset = f"({number(22)} * 3600 + {number(23, 25)} * 60 + {number(24, 26)})"
+    sign = f"CASE WHEN {part(21)} = '-' THEN -1 ELSE 1 END"
+    micros = f"CAST(substring(rpad({part(16, 20)}, 6, '0'), 1, 6) AS BIGINT)"
+    return F.expr(f"""
+        CASE WHEN {groups} IS NOT NULL THEN timestamp_micros(
+            unix_micros({day}) + CAST({seconds} - {sign} * {offset} AS BIGINT) * 1000000
+            + coalesce({micros}, 0)) END""")
+
+
+def with_posted_instant(df: DataFrame, name: str, out: str) -> DataFrame:
+    """Add a source's time column as timestamp, by the type it has in the source.
+
+    ISO-8601 text is parsed, anything else in it is NULL. A plain cast would also
+    take partial dates and bare times (as today's), and refuse the basic forms.
+    A timestamp without zone is UTC; a bare date, like every other type, has no
+    instant and gives NULL.
     """
+    kind = df.select(name).schema[0].dataType
     if isinstance(kind, T.TimestampType):
-        return column
+        return df.withColumn(out, F.col(name))
     if isinstance(kind, T.TimestampNTZType):
-        return column.cast("timestamp")
+        return df.withColumn(out, F.col(name).cast("timestamp"))
     if isinstance(kind, (T.StringType, T.VarcharType, T.CharType)):
-        return parse_iso(column)
-    return F.lit(None).cast("timestamp")
+        # Two steps: the second refers to the groups often, the first runs once.
+        return (df.withColumn("_iso", iso_groups(name)).withColumn(out, iso_instant("_iso"))
+                .drop("_iso"))
+    return df.withColumn(out, F.lit(None).cast("timestamp"))

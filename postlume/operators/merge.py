@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,30 +19,31 @@ def coerce(updates: DataFrame, schema: T.StructType) -> DataFrame:
     if unknown:
         raise ValueError(f"columns not in the target: {unknown}")
 
-    def value(field: T.StructField) -> Column:
-        column, have = F.col(field.name), updates.schema[field.name].dataType
-        if isinstance(have, (T.MapType, T.StructType)):
-            return F.to_json(column)
+    have = {f.name: f.dataType for f in updates.schema}
+
+    def value(field: T.StructField) -> str:
+        name = f"`{field.name}`"
+        if isinstance(have[field.name], (T.MapType, T.StructType)):
+            return f"to_json({name}) AS {name}"
         if isinstance(field.dataType, T.TimestampType):
-            return F.date_trunc("second", column.cast("timestamp"))
-        return column.cast(field.dataType)
+            return f"date_trunc('second', CAST({name} AS TIMESTAMP)) AS {name}"
+        return f"CAST({name} AS {field.dataType.simpleString()}) AS {name}"
 
-    return updates.select(*[value(f).alias(f.name) for f in schema if f.name in updates.columns])
+    return updates.selectExpr(*[value(f) for f in schema if f.name in have])
 
 
-def _changed(target: DataFrame, updated: set[str], keys: Sequence[str]) -> list[Column]:
+def _changed(target: DataFrame, updated: set[str], keys: Sequence[str]) -> list[str]:
     """Per target column: the update's value where there is one and it carries
     the column, NULLs included; else the target's."""
-    matched = F.col("_update").isNotNull()
     out = []
     for name in target.columns:
+        old, new = f"_target.`{name}`", f"_update.`{name}`"
         if name in keys:
-            out.append(F.coalesce(F.col(f"_target.{name}"), F.col(f"_update.{name}")).alias(name))
+            out.append(f"coalesce({old}, {new}) AS `{name}`")
         elif name in updated:
-            out.append(F.when(matched, F.col(f"_update.{name}"))
-                       .otherwise(F.col(f"_target.{name}")).alias(name))
+            out.append(f"CASE WHEN _update IS NOT NULL THEN {new} ELSE {old} END AS `{name}`")
         else:
-            out.append(F.col(f"_target.{name}").alias(name))
+            out.append(f"{old} AS `{name}`")
     return out
 
 
@@ -63,9 +64,9 @@ def merge_frames(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     old, new = _packed(target, "_target", keys), _packed(updates, "_update", keys)
     columns = _changed(target, set(updates.columns), keys)
     if not small_updates:
-        return old.join(new, keys, "full_outer").select(*columns)
+        return old.join(new, keys, "full_outer").selectExpr(*columns)
 
-    kept = old.join(F.broadcast(new), keys, "left").select(*columns)
+    kept = old.join(F.broadcast(new), keys, "left").selectExpr(*columns)
     matched = target.select(*keys).join(F.broadcast(updates.select(*keys)), keys, "left_semi")
     added = updates.join(F.broadcast(matched), keys, "left_anti")
     return kept.unionByName(added, allowMissingColumns=True).select(*target.columns)

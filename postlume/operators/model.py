@@ -18,7 +18,7 @@ from pyspark.sql.utils import AnalysisException
 from postlume import schema as S
 from postlume.functions.text import is_blank
 from postlume.operators.select import latest_per_key
-from postlume.operators.tasks import TASKS, Task, read_answer
+from postlume.operators.tasks import TASKS, Task, with_answer
 from postlume.session import shared_dir
 
 ANSWERS = "prompt_hash string, answer string, task string, model string"
@@ -117,7 +117,7 @@ def answered(posts: DataFrame, tasks: Sequence[str], backend: ModelBackend,
             {"prompt_hash": f"_hash_{task.name}", "answer": f"_answer_{task.name}"})
         rows = rows.join(found, f"_hash_{task.name}", "left")
     for task in used:
-        rows = rows.withColumns(read_answer(task, F.col(f"_answer_{task.name}"), F.col("_asked")))
+        rows = with_answer(rows, task, f"_answer_{task.name}", "_asked")
     return rows.drop("_asked", *[f"_{part}_{t.name}" for t in used for part in ("hash", "answer")])
 
 

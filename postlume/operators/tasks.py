@@ -6,11 +6,12 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlume import schema as S
+from postlume.functions.text import quoted
 
 
 @dataclass(frozen=True)
@@ -36,10 +37,6 @@ class Task:
     def columns(self) -> list[str]:
         return self.fields.names
 
-    def default(self, column: str, malformed: bool = False) -> Column:
-        values = {**self.defaults, **self.malformed} if malformed else self.defaults
-        return typed_literal(values[column], self.fields[column].dataType)
-
     def answer_schema(self) -> str:
         """The expected answer as JSON schema text, for clients that force one."""
         kinds = {"string": {"type": "string"}, "double": {"type": "number"},
@@ -57,12 +54,6 @@ class Task:
                            "required": self.columns})
 
 
-def typed_literal(value, kind: T.DataType) -> Column:
-    if isinstance(value, list):
-        return F.array(*[F.lit(v) for v in value]).cast(kind)
-    return F.lit(value).cast(kind)
-
-
 def _about(*lines: str) -> Callable[[Column, Column], Column]:
     lead = "\n".join(lines) + "\n\nPost:\n"
     return lambda text, author: F.concat(F.lit(lead), text)
@@ -121,36 +112,45 @@ MODERATION = Task(
 TASKS = {task.name: task for task in (SENTIMENT, ENTITIES, TOPIC, MODERATION)}
 
 
-def read_answer(task: Task, answer: Column, asked: Column) -> dict[str, Column]:
-    """The task's columns and ``<task>_status`` from the JSON text of an answer.
+def _literal(value, kind: T.DataType) -> str:
+    """The default values as SQL: texts, numbers, booleans and empty lists."""
+    if isinstance(value, list):
+        return f"CAST(array() AS {kind.simpleString()})"
+    return f"'{value}'" if isinstance(value, str) else f"CAST({value} AS {kind.simpleString()})"
 
-    Status: ``blank`` (not asked), ``failed`` (no answer), ``malformed`` (no JSON
-    object), ``unknown_value`` (outside the vocabulary), ``partial`` (a field
-    missing or of the wrong type), ``ok``. A field that cannot be used takes its
-    default; keys beyond the schema are dropped.
-    """
-    parsed = F.from_json(answer, task.fields)
-    is_object = F.json_object_keys(answer).isNotNull()
-    usable = asked & answer.isNotNull() & is_object
-    is_malformed = asked & answer.isNotNull() & ~is_object
 
-    out, unknown, missing = {}, F.lit(False), F.lit(False)
+def with_answer(df: DataFrame, task: Task, answer: str, asked: str) -> DataFrame:
+    """Add the task's columns and ``<task>_status`` from the JSON text in ``answer``.
+
+    ``asked`` names a boolean column. Status: ``blank`` (not asked), ``failed``
+    (no answer), ``malformed`` (no JSON object), ``unknown_value`` (outside the
+    vocabulary), ``partial`` (a field missing or of the wrong type), ``ok``. A
+    field that cannot be used takes its default; keys beyond the schema are
+    dropped.
+    """
+    df = df.withColumns({
+        "_parsed": F.from_json(F.col(answer), task.fields),
+        "_state": F.expr(f"""
+            CASE WHEN NOT {asked} THEN 'blank' WHEN {answer} IS NULL THEN 'failed'
+                 WHEN json_object_keys({answer}) IS NULL THEN 'malformed' ELSE 'usable' END"""),
+    })
+    columns, unknown, missing = {}, ["false"], []
     for f in task.fields:
-        value = parsed[f.name]
-        missing = missing | value.isNull()
-        accepted = value
+        value = accepted = f"_parsed.{f.name}"
+        missing.append(f"{value} IS NULL")
         if f.name in task.vocabulary:
-            known = value.isin(*task.vocabulary[f.name])
-            unknown = unknown | F.coalesce(~known, F.lit(False))
-            accepted = F.when(known, value)
+            known = f"{value} IN ({quoted(task.vocabulary[f.name])})"
+            unknown.append(f"coalesce(NOT ({known}), false)")
+            accepted = f"CASE WHEN {known} THEN {value} END"
         elif f.name in task.list_vocabulary:
-            names = list(task.list_vocabulary[f.name])
-            accepted = F.filter(value, lambda v, names=names: v.isin(*names))
-            unknown = unknown | F.coalesce(F.size(accepted) < F.size(value), F.lit(False))
-        out[f.name] = (F.when(usable, F.coalesce(accepted, task.default(f.name)))
-                       .when(is_malformed, task.default(f.name, malformed=True))
-                       .otherwise(task.default(f.name)))
-    out[f"{task.name}_status"] = (
-        F.when(~asked, "blank").when(answer.isNull(), "failed").when(is_malformed, "malformed")
-        .when(unknown, "unknown_value").when(missing, "partial").otherwise("ok"))
-    return out
+            accepted = f"filter({value}, v -> v IN ({quoted(task.list_vocabulary[f.name])}))"
+            unknown.append(f"coalesce(size({accepted}) < size({value}), false)")
+        default = _literal(task.defaults[f.name], f.dataType)
+        malformed = _literal({**task.defaults, **task.malformed}[f.name], f.dataType)
+        columns[f.name] = F.expr(f"""
+            CASE _state WHEN 'usable' THEN coalesce({accepted}, {default})
+                        WHEN 'malformed' THEN {malformed} ELSE {default} END""")
+    columns[f"{task.name}_status"] = F.expr(f"""
+        CASE WHEN _state <> 'usable' THEN _state WHEN {' OR '.join(unknown)} THEN 'unknown_value'
+             WHEN {' OR '.join(missing)} THEN 'partial' ELSE 'ok' END""")
+    return df.withColumns(columns).drop("_parsed", "_state")

@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 from postlume import schema as S
 from postlume.functions import text as X
 from postlume.functions.engagement import with_engagement
-from postlume.functions.timestamps import parse_iso
+from postlume.functions.timestamps import with_posted_instant
 from postlume.operators.balance import spread_small
 from postlume.operators.merge import coerce, merge_frames
 from postlume.operators.model import ModelBackend, annotate_by_model
 from postlume.operators.modules import enrich, switched_on
 from postlume.operators.rules import annotate_by_rules
 from postlume.operators.select import dedup_posts, latest_per_key, not_enriched, top_per_group
-from postlume.operators.tasks import SENTIMENT, read_answer
+from postlume.operators.tasks import SENTIMENT, with_answer
 from postlume.plans import inputs as I
 from postlume.plans.job import run, run_statistics
 from postlume.session import shared_dir
@@ -38,22 +38,18 @@ def query(function):
     return function
 
 
-def stamp(column: str) -> Column:
-    return F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(column)
-
-
 def flat(df: DataFrame) -> DataFrame:
     """Timestamps and dates as text, arrays joined with commas: comparable anywhere."""
-    def plain(name: str, kind: str) -> Column:
-        if kind == "timestamp":
-            return stamp(name)
-        if kind == "date":
-            return F.col(name).cast("string").alias(name)
-        if kind == "array<string>":
-            return F.array_join(name, ",").alias(name)
-        return F.col(name)
+    forms = {"timestamp": "date_format({0}, 'yyyy-MM-dd HH:mm:ss') AS {0}",
+             "date": "CAST({0} AS STRING) AS {0}", "array<string>": "array_join({0}, ',') AS {0}"}
+    return df.selectExpr(*[forms.get(kind, "{0}").format(f"`{name}`") for name, kind in df.dtypes])
+
 
-    return df.select(*[plain(name, kind) for name, kind in df.dtypes])
+def in_target(rows: DataFrame) -> DataFrame:
+    """Rows of the target table: its columns and types, NULL where there is none."""
+    return rows.selectExpr(*[
+        f"CAST({f.name if f.name in rows.columns else 'NULL'} AS {f.dataType.simpleString()}) "
+        f"AS {f.name}" for f in S.ENRICHMENTS])
 
 
 def scratch(spark: SparkSession) -> str:
@@ -110,8 +106,8 @@ def parse_posted_at(spark, sf_dir):
         "yyyy-MM", "HH:mm:ss", "MMM dd HH:mm:ss yyyy")] + [F.lit("")]
     rendered = I.table(spark, sf_dir, "events").select(
         "event_id", F.posexplode(F.array(*notations)).alias("notation", "posted_at"))
-    return rendered.select("event_id", "notation", F.unix_micros(
-        parse_iso(F.col("posted_at"))).alias("posted_us"))
+    return with_posted_instant(rendered, "posted_at", "_at").select(
+        "event_id", "notation", F.unix_micros("_at").alias("posted_us"))
 
 
 # -- sources --------------------------------------------------------------------
@@ -198,8 +194,7 @@ def _earlier(spark, sf_dir) -> DataFrame:
         "sentiment_label": F.lit("neutral"), "engagement_tier": F.lit("Low"),
         "region": F.lit("unset"), "enriched_at": F.lit(I.AS_OF), "enrichment_version": F.lit("0.9.0"),
         "date": F.lit(date(2024, 1, 1))})
-    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None))
-                         .cast(f.dataType).alias(f.name) for f in S.ENRICHMENTS])
+    return in_target(rows)
 
 
 def _later(spark, sf_dir) -> DataFrame:
@@ -244,9 +239,7 @@ def legacy_shape(spark, sf_dir):
     on, _ = switched_on(["engagement"])
     tweets = I.events_as_tweets(spark, sf_dir)
     enriched = enrich(normalize(tweets, registered()["x_tweets"]), on, I.AS_OF)
-    whole = enriched.select(*[(F.col(f.name) if f.name in enriched.columns else F.lit(None))
-                              .cast(f.dataType).alias(f.name) for f in S.ENRICHMENTS])
-    return flat(as_legacy(whole, tweets).select(
+    return flat(as_legacy(in_target(enriched), tweets).select(
         *[f.name for f in S.LEGACY_ENRICHED if f.name in (
             "tweet_id", "tweet_text", "author", "author_handle", "likes", "retweets", "replies",
             "views", "posted_at", "keyword", "region", "scraped_at", "sentiment_label",
@@ -342,8 +335,8 @@ def answer_variants(lang: Column) -> list[Column]:
 def annotation_defaults(spark, sf_dir):
     rows = I.table(spark, sf_dir, "documents").select(
         "doc_id", F.posexplode(F.array(*answer_variants(F.col("lang")))).alias("variant", "answer"))
-    columns = read_answer(SENTIMENT, F.col("answer"), F.lit(True))
-    return flat(rows.select("doc_id", "variant", *[c.alias(n) for n, c in columns.items()]))
+    asked = rows.withColumn("asked", F.lit(True))
+    return flat(with_answer(asked, SENTIMENT, "answer", "asked").drop("answer", "asked"))
 
 
 def letter_model():

@@ -155,4 +155,6 @@ class SnapshotTable:
 
     def _broadcast_limit(self) -> int:
         text = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        if text.startswith("-"):
+            return -1
         return int(self.spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))

@@ -4,27 +4,29 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlume.functions.timestamps import posted_instant
-from postlume.schema import NORMALIZED
+from postlume.functions.timestamps import with_posted_instant
 from postlume.sources.providers import Provider
 
 _LEGACY_COLUMNS = ("tweet_id", "tweet_text", "author", "author_handle", "likes", "retweets",
                    "replies", "views", "posted_at", "keyword", "region", "scraped_at")
 
 
-def source_id(provider: Provider) -> Column:
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def source_id(provider: Provider) -> str:
     """The one text form of an id: used to store it and to look it up."""
-    return F.col(provider.id).cast("string")
+    return f"CAST({_quoted(provider.id)} AS STRING) AS source_id"
 
 
 def source_keys(source: DataFrame, provider: Provider) -> DataFrame:
     """(source_id, scraped_at) of the posts that have a text: all that selection needs."""
-    return source.where(F.expr(provider.text).isNotNull()).select(
-        source_id(provider).alias("source_id"),
-        F.col(provider.scraped_at).cast("timestamp").alias("scraped_at"))
+    return source.where(f"({provider.text}) IS NOT NULL").selectExpr(
+        source_id(provider), f"CAST({_quoted(provider.scraped_at)} AS TIMESTAMP) AS scraped_at")
 
 
 def normalize(source: DataFrame, provider: Provider) -> DataFrame:
@@ -33,37 +35,34 @@ def normalize(source: DataFrame, provider: Provider) -> DataFrame:
     One select, so only the mapped columns are read. A mapped column the table
     does not have is an analysis error; an unmapped one gets its default.
     """
-    def text(column: str | None) -> Column:
-        return F.coalesce(F.col(column).cast("string"), F.lit("")) if column else F.lit("")
+    def text(column: str | None, name: str) -> str:
+        value = f"coalesce(CAST({_quoted(column)} AS STRING), '')" if column else "''"
+        return f"{value} AS {name}"
 
-    def count(column: str | None) -> Column:
-        if not column:
-            return F.lit(0).cast("bigint")
-        return F.coalesce(F.col(column).try_cast("bigint"), F.lit(0).cast("bigint"))
+    def count(column: str | None, name: str) -> str:
+        value = f"coalesce(TRY_CAST({_quoted(column)} AS BIGINT), 0L)" if column else "0L"
+        return f"{value} AS {name}"
 
+    present = source.where(f"({provider.text}) IS NOT NULL")
+    posted = "CAST(NULL AS TIMESTAMP)"
     if provider.posted_at:
-        kind = source.select(F.col(provider.posted_at)).schema[0].dataType
-        posted = posted_instant(F.col(provider.posted_at), kind)
-    else:
-        posted = F.lit(None).cast("timestamp")
-
-    columns = {
-        "source_table": F.lit(provider.table),
-        "source_id": source_id(provider),
-        "text": F.expr(provider.text),
-        "author": text(provider.author),
-        "likes": count(provider.likes),
-        "retweets": count(provider.shares),
-        "replies": count(provider.comments),
-        "views": count(provider.views),
-        "posted_at": posted,
-        "keyword": text(provider.keyword),
-        "region": text(provider.region),
-        "scraped_at": F.col(provider.scraped_at).cast("timestamp"),
-        "source_url": text(provider.url),
-    }
-    present = source.where(F.expr(provider.text).isNotNull())
-    return present.select(*[columns[f.name].alias(f.name) for f in NORMALIZED])
+        posted = "_posted"
+        present = with_posted_instant(present, _quoted(provider.posted_at), posted)
+    table = provider.table.replace("'", "\\'")
+    return present.selectExpr(
+        f"'{table}' AS source_table",
+        source_id(provider),
+        f"{provider.text} AS text",
+        text(provider.author, "author"),
+        count(provider.likes, "likes"),
+        count(provider.shares, "retweets"),
+        count(provider.comments, "replies"),
+        count(provider.views, "views"),
+        f"{posted} AS posted_at",
+        text(provider.keyword, "keyword"),
+        text(provider.region, "region"),
+        f"CAST({_quoted(provider.scraped_at)} AS TIMESTAMP) AS scraped_at",
+        text(provider.url, "source_url"))
 
 
 def newest(posts: DataFrame, by: str, tie: str, limit: int | None) -> DataFrame:

@@ -15,7 +15,13 @@ _TIME = (r"(?:([01]\d|2[0-3])(?::([0-5]\d)(?::([0-5]\d)(?:[.,](\d+))?)?)?"
 _OFFSET = (r"(?:([+-])([01]\d|2[0-3])"
            r"(?::([0-5]\d)(?::([0-5]\d))?|([0-5]\d)([0-5]\d)?)?)")
 ISO_8601 = rf"^(?!0000){_DATE}(?:[\s\S]{_TIME}{_OFFSET}?)?\z"
-_GROUPS = 26
+# What the groups mean, those of alternative notations side by side: of two only
+# one takes part in a match, and the other adds nothing.
+_LAYOUT = {"year": "$1$4", "month": "$2$5", "day": "$3$6",
+           "week_year": "$7$10", "week": "$8$11", "weekday": "$9$12",
+           "hour": "$13$17", "minute": "$14$18", "second": "$15$19", "fraction": "$16$20",
+           "sign": "$21", "offset_hour": "$22", "offset_minute": "$23$25",
+           "offset_second": "$24$26"}
 
 
 def instant(as_of: datetime) -> Column:
@@ -25,50 +31,50 @@ def instant(as_of: datetime) -> Column:
     return F.lit(as_of)
 
 
-def iso_groups(name: str) -> Column:
-    """The groups of an ISO-8601 text column, by number; NULL if it is none.
+def iso_parts(name: str) -> Column:
+    """The parts of an ISO-8601 text column, in the order above; NULL if it is none.
 
-    One replacement lays out all groups at once, so that the pattern runs twice
-    per value and not once per group.
+    One replacement lays out all parts at once, so that the pattern runs twice
+    per value and not once per part.
     """
     utc = f"replace({name}, 'Z', '+00:00')"
-    layout = "|".join(f"${i}" for i in range(1, _GROUPS + 1))
+    layout = "|".join(_LAYOUT.values())
     return F.expr(f"CASE WHEN {utc} RLIKE r'{ISO_8601}' THEN "
-                  f"split(regexp_replace({utc}, r'{ISO_8601}', '{layout}'), '[|]', -1) END")
+                  rf"split(regexp_replace({utc}, r'{ISO_8601}', '{layout}'), r'\|', -1) END")
 
 
-def iso_instant(groups: str) -> Column:
-    """The instant that the column ``groups`` (see ``iso_groups``) stands for.
+def iso_instant(parts: str) -> Column:
+    """The instant that the column ``parts`` (see ``iso_parts``) stands for.
 
     A calendar or a week date, any time of day, minus the offset; no offset
     means UTC. NULL for days that do not exist.
     """
-    def part(*numbers: int) -> str:
-        """The first of these groups that took part in the match."""
-        return "coalesce(" + ", ".join(f"nullif(get({groups}, {n - 1}), '')" for n in numbers) + ")"
+    text = {name: f"{parts}[{i}]" for i, name in enumerate(_LAYOUT)}
 
-    def number(*numbers: int, default: int = 0) -> str:
-        return f"coalesce(CAST({part(*numbers)} AS INT), {default})"
+    def number(name: str, default: int = 0) -> str:
+        return f"CASE WHEN {text[name]} = '' THEN {default} ELSE CAST({text[name]} AS INT) END"
 
-    calendar = (f"try_make_timestamp({number(1, 4)}, {number(2, 5)}, {number(3, 6)}, "
+    calendar = (f"try_make_timestamp({number('year')}, {number('month')}, {number('day')}, "
                 "0, 0, 0, 'UTC')")
-    year, week, weekday = number(7, 10), number(8, 11), number(9, 12, default=1)
+    year, week, weekday = number("week_year"), number("week"), number("weekday", default=1)
     # 4 January always lies in week 1; the Thursday decides whose year a week is.
-    january = f"trunc(make_date({year}, 1, 4), 'week')"
-    monday = f"date_add({january}, ({week} - 1) * 7)"
-    week_date = (f"CASE WHEN {week} >= 1 AND {weekday} BETWEEN 1 AND 7 "
-                 f"AND year(date_add({monday}, 3)) = {year} "
-                 f"THEN CAST(date_add({monday}, {weekday} - 1) AS TIMESTAMP) END")
-    day = f"CASE WHEN {part(1, 4)} IS NOT NULL THEN {calendar} ELSE {week_date} END"
-
-    seconds = f"{number(13, 17)} * 3600 + {number(14, 18)} * 60 + {number(15, 19)}"
-    offset = f"({number(22)} * 3600 + {number(23, 25)} * 60 + {number(24, 26)})"
-    sign = f"CASE WHEN {part(21)} = '-' THEN -1 ELSE 1 END"
-    micros = f"CAST(substring(rpad({part(16, 20)}, 6, '0'), 1, 6) AS BIGINT)"
+    monday = f"date_add(trunc(make_date({year}, 1, 4), 'week'), (({week}) - 1) * 7)"
+    week_date = (f"CASE WHEN ({week}) >= 1 AND ({weekday}) BETWEEN 1 AND 7 "
+                 f"AND year(date_add({monday}, 3)) = ({year}) "
+                 f"THEN CAST(date_add({monday}, ({weekday}) - 1) AS TIMESTAMP) END")
+    day = f"CASE WHEN {text['year']} <> '' THEN {calendar} ELSE {week_date} END"
+
+    def seconds(prefix: str = "") -> str:
+        return (f"(({number(prefix + 'hour')}) * 3600 + ({number(prefix + 'minute')}) * 60"
+                f" + ({number(prefix + 'second')}))")
+
+    offset = (f"CASE WHEN {text['sign']} = '' THEN 0 WHEN {text['sign']} = '-' "
+              f"THEN -{seconds('offset_')} ELSE {seconds('offset_')} END")
+    micros = (f"CASE WHEN {text['fraction']} = '' THEN 0 ELSE "
+              f"CAST(substring(rpad({text['fraction']}, 6, '0'), 1, 6) AS INT) END")
     return F.expr(f"""
-        CASE WHEN {groups} IS NOT NULL THEN timestamp_micros(
-            unix_micros({day}) + CAST({seconds} - {sign} * {offset} AS BIGINT) * 1000000
-            + coalesce({micros}, 0)) END""")
+        CASE WHEN {parts} IS NOT NULL THEN timestamp_micros(
+            unix_micros({day}) + ({seconds()} - ({offset})) * 1000000L + ({micros})) END""")
 
 
 def with_posted_instant(df: DataFrame, name: str, out: str) -> DataFrame:
@@ -86,6 +92,6 @@ def with_posted_instant(df: DataFrame, name: str, out: str) -> DataFrame:
         return df.withColumn(out, F.col(name).cast("timestamp"))
     if isinstance(kind, (T.StringType, T.VarcharType, T.CharType)):
         # Two steps: the second refers to the groups often, the first runs once.
-        return (df.withColumn("_iso", iso_groups(name)).withColumn(out, iso_instant("_iso"))
+        return (df.withColumn("_iso", iso_parts(name)).withColumn(out, iso_instant("_iso"))
                 .drop("_iso"))
     return df.withColumn(out, F.lit(None).cast("timestamp"))

@@ -104,7 +104,7 @@ def parse_posted_at(spark, sf_dir):
         "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+05:30'", "yyyyMMdd", "yyyyMMdd'T'HHmmss'Z'")]
     notations += [week] + [F.date_format(ts, p) for p in (
         "yyyy-MM", "HH:mm:ss", "MMM dd HH:mm:ss yyyy")] + [F.lit("")]
-    rendered = I.table(spark, sf_dir, "events").select(
+    rendered = spread_small(I.table(spark, sf_dir, "events").select("event_id", "ts")).select(
         "event_id", F.posexplode(F.array(*notations)).alias("notation", "posted_at"))
     return with_posted_instant(rendered, "posted_at", "_at").select(
         "event_id", "notation", F.unix_micros("_at").alias("posted_us"))

@@ -32,41 +32,26 @@ def coerce(updates: DataFrame, schema: T.StructType) -> DataFrame:
     return updates.selectExpr(*[value(f) for f in schema if f.name in have])
 
 
-def _changed(target: DataFrame, updated: set[str], keys: Sequence[str]) -> list[str]:
-    """Per target column: the update's value where there is one and it carries
-    the column, NULLs included; else the target's."""
-    out = []
-    for name in target.columns:
-        old, new = f"_target.`{name}`", f"_update.`{name}`"
-        if name in keys:
-            out.append(f"coalesce({old}, {new}) AS `{name}`")
-        elif name in updated:
-            out.append(f"CASE WHEN _update IS NOT NULL THEN {new} ELSE {old} END AS `{name}`")
-        else:
-            out.append(f"{old} AS `{name}`")
-    return out
-
-
-def _packed(frame: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
-    return frame.select(*keys, F.struct(*frame.columns).alias(name))
-
-
 def merge_frames(target: DataFrame, updates: DataFrame, keys: Sequence[str],
                  small_updates: bool = False) -> DataFrame:
     """``target`` after the upsert of ``updates``; both unique by ``keys``.
 
-    Matched rows take the columns that ``updates`` carries and keep the others;
-    unmatched updates are added with NULL in the others. One full outer join on
-    the keys. With ``small_updates`` (the caller has checked their size) they are
-    broadcast to the target instead, whose rows then do not move.
+    Matched rows take the columns that ``updates`` carries, NULLs included, and
+    keep the others; unmatched updates are added with NULL in the others. One
+    full outer join on the keys. With ``small_updates`` (the caller has checked
+    their size) they are broadcast to the target instead, whose rows then do not
+    move.
     """
     keys = list(keys)
-    old, new = _packed(target, "_target", keys), _packed(updates, "_update", keys)
-    columns = _changed(target, set(updates.columns), keys)
+    carried = [name for name in updates.columns if name not in keys]
+    new = updates.selectExpr(*[f"`{k}`" for k in keys], "true AS _matched",
+                             *[f"`{name}` AS `_new_{name}`" for name in carried])
+    columns = [f"CASE WHEN _matched THEN `_new_{name}` ELSE `{name}` END AS `{name}`"
+               if name in carried else f"`{name}`" for name in target.columns]
     if not small_updates:
-        return old.join(new, keys, "full_outer").selectExpr(*columns)
+        return target.join(new, keys, "full_outer").selectExpr(*columns)
 
-    kept = old.join(F.broadcast(new), keys, "left").selectExpr(*columns)
+    kept = target.join(F.broadcast(new), keys, "left").selectExpr(*columns)
     matched = target.select(*keys).join(F.broadcast(updates.select(*keys)), keys, "left_semi")
     added = updates.join(F.broadcast(matched), keys, "left_anti")
     return kept.unionByName(added, allowMissingColumns=True).select(*target.columns)

@@ -121,7 +121,7 @@ def _run_provider(spark, source, provider, target, modules, as_of, limit, backen
         posts = spark.read.schema(S.NORMALIZED).parquet(f"{scratch}/posts")
         annotate = partial(annotate_by_model, backend=backend)
     else:
-        posts = spread_small(posts)
+        posts = spread_small(posts, rows=totals["rows"])
     outcome = target.upsert(enrich(posts, modules, as_of, annotate))
     result.inserted, result.updated = outcome.inserted, outcome.updated
     result.enriched = (outcome.inserted + outcome.updated if outcome.inserted is not None

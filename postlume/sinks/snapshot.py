@@ -95,7 +95,7 @@ class SnapshotTable:
         if self.partition and self.partition not in frame.columns:
             frame = frame.withColumn(
                 self.partition, F.lit(None).cast(self.schema[self.partition].dataType))
-        writer = frame.sortWithinPartitions(*self.keys).write.option("compression", "snappy")
+        writer = frame.write.option("compression", "snappy")
         if not self.partition:
             writer.parquet(f"{self.path}/data/{commit}")
             return [commit]
@@ -141,6 +141,9 @@ class SnapshotTable:
         size = sum(self._files.size(f"{self.path}/data/{f}") for f in staged_folders)
         merged = merge_frames(self._open(touched).select(*self.schema.names), staged, self.keys,
                               small_updates=size <= self._broadcast_limit())
+        if self.partition and len(touched) > 1:
+            # Rows of a day together, large days split: no file per task and day.
+            merged = merged.hint("rebalance", self.partition)
         kept = [f for f in live if f not in set(touched)]
         self._commit(version, kept + self._write(merged))
         self._files.remove(f"{self.path}/data/{staged_folders[0].split('/')[0]}")

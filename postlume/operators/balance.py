@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 SMALL_BYTES = 1 << 30
-BYTES_PER_TASK = 1 << 20
+BYTES_PER_TASK = 1 << 17
 SMALL_ROWS = 1_000_000
 ROWS_PER_TASK = 500
 

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from postlume import schema as S
 from postlume.operators.balance import spread_small
 from postlume.operators.model import ModelBackend, annotate_by_model, answered, status_counts
-from postlume.operators.modules import enrich, switched_on
+from postlume.operators.modules import Module, enrich, switched_on
 from postlume.operators.rules import annotate_by_rules
 from postlume.operators.select import dedup_posts, pending
 from postlume.session import configure, shared_dir
+from postlume.sinks.files import Files
 from postlume.sources.posts import normalize, source_keys
 from postlume.sources.providers import Provider, choose
 
@@ -83,18 +84,29 @@ def run(spark: SparkSession, target, as_of: datetime | None = None,
     report = RunReport(unknown_providers=unknown, modules_off=off)
     target.create()
     for name, provider in chosen.items():
-        result = report.providers[name] = ProviderReport()
         try:
-            _run_provider(spark, source(provider.table), provider, target, on, as_of, limit,
-                          backend, reenrich, result)
+            report.providers[name] = enrich_new(source(provider.table), provider, target, on,
+                                                as_of, limit, backend, reenrich)
         except Exception as error:  # one broken source must not stop the others
-            result.skipped = f"{type(error).__name__}: {error}"
+            report.providers[name] = ProviderReport(skipped=f"{type(error).__name__}: {error}")
     return report
 
 
-def _run_provider(spark, source, provider, target, modules, as_of, limit, backend, reenrich,
-                  result) -> None:
+def enrich_new(source: DataFrame, provider: Provider, target, modules: Sequence[Module],
+               as_of: datetime, limit: int | None = None, backend: ModelBackend | None = None,
+               reenrich: bool = False) -> ProviderReport:
+    """Enrich what is new in one source and commit it."""
+    spark = source.sparkSession
     scratch = f"{shared_dir(spark)}/postlume-run-{uuid.uuid4().hex}"
+    try:
+        return _enrich_new(spark, scratch, source, provider, target, modules, as_of, limit,
+                           backend, reenrich)
+    finally:
+        Files(spark, scratch).remove(scratch)
+
+
+def _enrich_new(spark, scratch, source, provider, target, modules, as_of, limit, backend,
+                reenrich) -> ProviderReport:
     done = None
     if not reenrich and not target.is_empty():
         done = target.read().where(F.col("source_table") == provider.table).select("source_id")
@@ -105,12 +117,10 @@ def _run_provider(spark, source, provider, target, modules, as_of, limit, backen
     wanted = spark.read.schema(_PENDING).parquet(f"{scratch}/pending")
     totals = wanted.agg(
         F.sum("copies").alias("rows"), F.max("copies").alias("most"),
-        F.min("scraped_at").alias("oldest"),
+        F.count(F.lit(1)).alias("ids"), F.min("scraped_at").alias("oldest"),
         F.max(F.col("scraped_at").isNull()).alias("any_undated")).first()
     if not totals["rows"]:
-        result.skipped = "nothing new"
-        return
-    result.fetched = totals["rows"]
+        return ProviderReport(skipped="nothing new")
 
     # With a limit, a copy scraped at the same instant may lie just beyond it.
     unique = limit is None and totals["most"] == 1
@@ -121,15 +131,16 @@ def _run_provider(spark, source, provider, target, modules, as_of, limit, backen
         posts = spark.read.schema(S.NORMALIZED).parquet(f"{scratch}/posts")
         annotate = partial(annotate_by_model, backend=backend)
     else:
-        posts = spread_small(posts, rows=totals["rows"])
+        posts = spread_small(posts, rows=totals["ids"])
     outcome = target.upsert(enrich(posts, modules, as_of, annotate))
-    result.inserted, result.updated = outcome.inserted, outcome.updated
-    result.enriched = (outcome.inserted + outcome.updated if outcome.inserted is not None
-                       else wanted.count())
+    report = ProviderReport(totals["rows"], totals["ids"], outcome.inserted, outcome.updated)
+    if outcome.inserted is not None:
+        report.enriched = outcome.inserted + outcome.updated
     tasks = [m.task for m in modules if m.task]
     if backend and tasks:
         counted = status_counts(answered(posts, tasks, backend), tasks)
-        result.statuses = {(r["task"], r["status"]): r["n"] for r in counted.collect()}
+        report.statuses = {(r["task"], r["status"]): r["n"] for r in counted.collect()}
+    return report
 
 
 def run_statistics(selected: DataFrame, written: DataFrame) -> DataFrame:

@@ -2,34 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from postlume import schema as S
-from postlume.operators.modules import Module, enrich, switched_on
-from postlume.operators.rules import annotate_by_rules
-from postlume.operators.select import dedup_posts, not_enriched
-from postlume.sources.posts import normalize
+from postlume.operators.model import ModelBackend
+from postlume.operators.modules import switched_on
+from postlume.plans.job import enrich_new
 from postlume.sources.providers import Provider
 
 
-def enrich_batch(rows: DataFrame, provider: Provider, target, modules: Sequence[Module],
-                 as_of: datetime, annotate: Callable = annotate_by_rules):
-    """Normalise, drop what is enriched already, keep one row per key, upsert."""
-    posts = normalize(rows, provider).where(F.col("source_id").isNotNull())
-    if not target.is_empty():
-        done = target.read().where(F.col("source_table") == provider.table)
-        posts = not_enriched(posts, done, S.KEYS)
-    return target.upsert(enrich(dedup_posts(posts, S.KEYS), modules, as_of, annotate))
-
-
 def start_stream(stream: DataFrame, provider: Provider, target, checkpoint: str,
                  modules: Mapping | Sequence[str] | None = None,
-                 as_of: datetime | None = None, annotate: Callable = annotate_by_rules,
+                 as_of: datetime | None = None, backend: ModelBackend | None = None,
                  **trigger) -> StreamingQuery:
     """Run the enrichment on every micro-batch; by default until the input is used up.
 
@@ -40,7 +27,8 @@ def start_stream(stream: DataFrame, provider: Provider, target, checkpoint: str,
     target.create()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        enrich_batch(batch, provider, target, on, as_of or datetime.now(timezone.utc), annotate)
+        enrich_new(batch, provider, target, on, as_of or datetime.now(timezone.utc),
+                   backend=backend)
 
     return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

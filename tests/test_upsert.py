@@ -186,3 +186,16 @@ def test_legacy_form(spark):
                                    "tweet_id long, author_handle string, scraped_at timestamp")
     got = as_legacy(rows, tweets).collect()
     assert [r.author_handle for r in got] == ["@new"]
+
+
+def test_legacy_table_upserts_by_tweet(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "legacy"), S.LEGACY_ENRICHED, S.LEGACY_KEYS).create()
+    def rows(*values):
+        return spark.createDataFrame([(*v, D1) for v in values],
+                                     "tweet_id string, tweet_text string, likes long, date date")
+    assert t.upsert(rows(("1", "a", 1), ("2", "b", 2))) == Upserted(2, 0, 0)
+    assert t.upsert(rows(("2", "b", 9), ("3", "c", 3)).drop("tweet_text")) == Upserted(1, 1, 1)
+    got = t.read().orderBy("tweet_id")
+    assert got.columns == S.LEGACY_ENRICHED.names
+    assert [(r.tweet_id, r.tweet_text, r.likes) for r in got.collect()] == [
+        ("1", "a", 1), ("2", "b", 9), ("3", None, 3)]

@@ -107,9 +107,10 @@ def enrich_new(source: DataFrame, provider: Provider, target, modules: Sequence[
 
 def _enrich_new(spark, scratch, source, provider, target, modules, as_of, limit, backend,
                 reenrich) -> ProviderReport:
-    done = None
+    done, version = None, None
     if not reenrich and not target.is_empty():
-        done = target.read().where(F.col("source_table") == provider.table).select("source_id")
+        version = target.version()
+        done = target.read(version).where(F.col("source_table") == provider.table).select("source_id")
 
     # Narrow first: ids and times only. Stored, so that it is computed once and
     # its true size decides the join below.
@@ -132,7 +133,8 @@ def _enrich_new(spark, scratch, source, provider, target, modules, as_of, limit,
         annotate = partial(annotate_by_model, backend=backend)
     else:
         posts = spread_small(posts, rows=totals["ids"])
-    outcome = target.upsert(enrich(posts, modules, as_of, annotate))
+    # None of the selected keys is in the version they were selected against.
+    outcome = target.upsert(enrich(posts, modules, as_of, annotate), absent_at=version)
     report = ProviderReport(totals["rows"], totals["ids"], outcome.inserted, outcome.updated)
     if outcome.inserted is not None:
         report.enriched = outcome.inserted + outcome.updated

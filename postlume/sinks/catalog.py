@@ -40,13 +40,16 @@ class CatalogTable:
         create_table(self.spark, self.name, self.schema, using=self.using)
         return self
 
-    def read(self) -> DataFrame:
+    def version(self) -> None:
+        return None
+
+    def read(self, version: None = None) -> DataFrame:
         return self.spark.table(self.name).select(*self.schema.names)
 
     def is_empty(self) -> bool:
         return self.read().isEmpty()
 
-    def upsert(self, updates: DataFrame):
+    def upsert(self, updates: DataFrame, absent_at: None = None):
         """Counts come back as None: MERGE does not report them."""
         from postlume.sinks.snapshot import Upserted
 

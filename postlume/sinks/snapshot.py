@@ -103,11 +103,13 @@ class SnapshotTable:
         return [f"{commit}/{name}" for name in self._files.names(f"{self.path}/data/{commit}")
                 if name.startswith(f"{self.partition}=")]
 
-    def upsert(self, updates: DataFrame) -> Upserted:
+    def upsert(self, updates: DataFrame, absent_at: int | None = None) -> Upserted:
         """Merge ``updates``, unique by key, into the table: see ``merge_frames``.
 
         The updates are written first. If no key of theirs is in the table those
-        folders are the commit, and nothing is written twice.
+        folders are the commit, and nothing is written twice. ``absent_at`` names
+        a version that is known to hold none of the keys: as long as it is the
+        newest, the keys of the table need not be read again.
         """
         missing = [k for k in self.keys if k not in updates.columns]
         if missing:
@@ -125,7 +127,7 @@ class SnapshotTable:
             return Upserted()
 
         touched, matched = [], 0
-        if live:
+        if live and (absent_at is None or absent_at != version):
             place = ["c"] + ([self.partition] if self.partition else [])
             hits = (self._open(live).select(*self.keys, *place)
                     .join(staged.select(*self.keys), self.keys, "left_semi")

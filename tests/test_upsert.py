@@ -199,3 +199,13 @@ def test_legacy_table_upserts_by_tweet(spark, tmp_path):
     assert got.columns == S.LEGACY_ENRICHED.names
     assert [(r.tweet_id, r.tweet_text, r.likes) for r in got.collect()] == [
         ("1", "a", 1), ("2", "b", 9), ("3", None, 3)]
+
+
+def test_keys_known_to_be_absent(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.upsert(frame(spark, [("1", "x", 1, "b", D1)]))
+    seen = t.version()
+    assert t.upsert(frame(spark, [("2", "x", 2, "b", D1)]), absent_at=seen) == Upserted(1, 0, 0)
+    # The table has moved on since: the same promise is checked again.
+    assert t.upsert(frame(spark, [("2", "x", 3, "b", D1)]), absent_at=seen) == Upserted(0, 1, 1)
+    assert content(t.read()) == [("1", "x", 1, "b", D1), ("2", "x", 3, "b", D1)]

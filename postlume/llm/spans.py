@@ -21,6 +21,8 @@ _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _WINDOW_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _SEPARATORS = np.zeros(256, bool)
 _SEPARATORS[[0x20, 9, 10, 11, 12, 13]] = True
+#: For texts in lower case: everything but ASCII letters and digits and what lies beyond ASCII.
+LETTERS_ONLY = np.array([not (48 <= b < 58 or 97 <= b < 123 or b > 127) for b in range(256)])
 _BLOCK = 1 << 16
 
 
@@ -48,11 +50,11 @@ def pieces(data: np.ndarray, offsets: np.ndarray, limit: int = PIECE) -> Iterato
         first = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SEPARATORS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and the number of its text."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    word = ~_SEPARATORS[data]
+    word = ~separators[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
     edge = np.zeros(len(data) + 1, bool)
@@ -128,6 +130,15 @@ def window_hash(words: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
     return mix(out)
 
 
+def sequence_hash(words: np.ndarray, begin: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
+    """Hashes of the runs begin..end of word hashes."""
+    base = _WINDOW_BASES[lane]
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * _powers(base, len(words))[:len(words)], out=sums[1:])
+    back = _powers(pow(base, -1, 1 << 64), len(words) + 1)
+    return mix((sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64))
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """All numbers start, start + 1, ... of each range, one after another."""
     total = int(lengths.sum())

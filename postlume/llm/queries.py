@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from postlume.llm.neardup import near_dedup
 from postlume.llm.quality import quality_rules
 from postlume.llm.substring import substring_dedup
 
@@ -26,7 +27,13 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup(docs).select("doc_id", "class_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_near_dedup": op9_near_dedup,
 }

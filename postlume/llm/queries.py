@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from postlume.llm.decontaminate import contamination
 from postlume.llm.neardup import near_dedup
 from postlume.llm.quality import quality_rules
 from postlume.llm.substring import substring_dedup
@@ -32,8 +33,15 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(docs).select("doc_id", "class_id", "kept")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return found.drop("twin").withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_near_dedup": op9_near_dedup,
+    "op10_decontamination": op10_decontamination,
 }

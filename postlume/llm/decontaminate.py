@@ -2,8 +2,8 @@
 
 Both sides are brought to a template: words in lower case without outer punctuation, where numbers,
 names and units stand as typed placeholders. A number is a word with a digit or one of
-``NUMBER_WORDS``; a unit is one of ``UNITS`` right after a number; a name is a word with a capital
-that does not open a sentence, a line or the text, and neighbouring names are one slot. Windows of
+``NUMBER_WORDS``; a unit is one of ``UNITS`` right after a number; a name is a word with a capital and a
+small letter after it that does not open a sentence, a line or the text, and neighbouring names are one slot. Windows of
 ``WINDOW`` template words are joined by hash; items of fewer words are one window of their own
 length. A bitmap of fixed size, made from the items, keeps all other windows of the documents out of
 the shuffle.
@@ -92,8 +92,12 @@ def _templates(original: pa.Array) -> Iterator[tuple]:
         is_unit = np.zeros(n, bool)
         is_unit[1:] = is_number[:-1] & np.isin(value[1:], units) & (doc[1:] == doc[:-1])
         a = np.minimum(a, len(data) - 1)
-        second = data[np.minimum(a + 1, len(data) - 1)]
-        big = capital[data[a]] | ((data[a] == 0xC3) & (second >= 0x80) & (second <= 0x9E))
+        padded = np.concatenate([data, np.zeros(3, np.uint8)])
+        second = padded[a + 1]
+        wide = (data[a] == 0xC3) & (second >= 0x80) & (second <= 0x9E)
+        # A small letter must follow: a word all in capitals is no name.
+        c, d = padded[a + 1 + wide], padded[a + 2 + wide]
+        big = (capital[data[a]] | wide) & (((c >= 97) & (c < 123)) | ((c == 0xC3) & (d > 0x9E)))
         lines = np.concatenate([[0], np.cumsum(data == 10)])
         opens = np.ones(n, bool)
         opens[1:] = closing[data[ends[:-1] - 1]] | (doc[1:] != doc[:-1]) | (lines[starts[1:]] > lines[starts[:-1]])

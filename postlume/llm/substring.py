@@ -122,25 +122,37 @@ def repeated_cells(docs: DataFrame, k: int, log2_cells: int) -> np.ndarray:
 
 
 def _group(gathered: list[list[np.ndarray]]) -> pa.RecordBatch:
-    """The windows; all but the earliest of each kind are cut already, and rows that say the same are
-    one."""
-    high, low, ids, at = (np.concatenate(x) for x in zip(*gathered))
-    order = np.lexsort((at, ids))
+    """The windows of this part of the input, each kind once: of the others only the place is kept,
+    as a cut. Neighbours under one run travel in one row."""
+    run, high, low, ids, twins, at = (np.concatenate(x) for x in zip(*gathered))
+    order = np.lexsort((at, twins, ids))
     order = order[np.argsort(high[order], kind="stable")]
-    high, low, ids, at = high[order], low[order], ids[order], at[order]
-    same = np.zeros(len(high), bool)
-    same[1:] = (high[1:] == high[:-1]) & (low[1:] == low[:-1])
-    head = np.maximum.accumulate(np.where(~same, np.arange(len(high)), 0))
-    again = same & ((ids != ids[head]) | (at != at[head]))
-    twin = np.zeros(len(high), bool)
-    twin[1:] = same[1:] & (ids[1:] == ids[:-1]) & (at[1:] == at[:-1])
-    keep = ~twin
-    # What is cut needs no group any more: it is dealt out evenly.
-    high = np.where(again, mix(ids.view(np.uint64) ^ mix(at.view(np.uint64))), high)
-    return pa.record_batch(
-        [pa.array(high[keep].view(np.int64)), pa.array(low[keep].astype(np.uint32).view(np.int32)),
-         pa.array(ids[keep]), pa.array(at[keep]), pa.array(again[keep])],
-        ["high", "low", "id", "at", "cut"])
+    run, high, low, ids, twins, at = (x[order] for x in (run, high, low, ids, twins, at))
+
+    def as_before(*columns: np.ndarray) -> np.ndarray:
+        out = np.ones(len(at), bool)
+        out[:1] = False
+        for x in columns:
+            out[1:] &= x[1:] == x[:-1]
+        return out
+
+    same = as_before(high, low)
+    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
+    cut = same & ((ids != ids[head]) | (twins != twins[head]) | (at != at[head]))
+    keep = ~as_before(high, low, ids, twins, at)
+    run, high, low, ids, twins, at, cut = (x[keep] for x in (run, high, low, ids, twins, at, cut))
+    # A cut needs no group any more: it is dealt out by document.
+    run = np.where(cut, mix(ids.view(np.uint64)), run)
+    high, low = np.where(cut, np.uint64(0), high), np.where(cut, np.uint64(0), low)
+    order = np.lexsort((at, run, cut, twins, ids))
+    run, high, low, ids, twins, at, cut = (x[order] for x in (run, high, low, ids, twins, at, cut))
+    first = np.flatnonzero(~as_before(run, ids, twins, cut))
+    places = pa.ListArray.from_arrays(
+        pa.array(np.append(first, len(at)).astype(np.int32)),
+        pa.StructArray.from_arrays([pa.array(high.view(np.int64)), pa.array(low.astype(np.uint32).view(np.int32)),
+                                    pa.array(at.astype(np.int32))], ["high", "low", "at"]))
+    return pa.record_batch([pa.array(run[first].view(np.int64)), pa.array(ids[first]), pa.array(twins[first].astype(np.int32)),
+                            pa.array(cut[first]), places], ["run", "id", "twin", "cut", "places"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch], k: int, log2_cells: int, bits: Broadcast) -> Iterator[pa.RecordBatch]:
@@ -159,10 +171,9 @@ def _windows(batches: Iterator[pa.RecordBatch], k: int, log2_cells: int, bits: B
             if not len(at):
                 continue
             begin = np.searchsorted(doc, np.arange(len(offsets) - 1))
-            place = (at - begin[doc[at]]) | (twins[first + doc[at]] << 32)
-            gathered.append([window_hash(words, k)[at],
+            gathered.append([least, window_hash(words, k)[at],
                              window_hash(span_hash(data, starts, ends, 1), k, 1)[at] >> np.uint64(32),
-                             ids[first + doc[at]], place])
+                             ids[first + doc[at]], twins[first + doc[at]], at - begin[doc[at]]])
             n += len(at)
             if n >= FLUSH:
                 yield _group(gathered)
@@ -176,12 +187,14 @@ def cut_windows(docs: DataFrame, k: int, log2_cells: int) -> DataFrame:
     ``docs`` has id, twin and text."""
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(repeated_cells(docs, k, log2_cells))
-    found = docs.mapInArrow(lambda batches: _windows(batches, k, log2_cells, bits),
-                            "high long, low int, id long, at long, cut boolean")
-    later = found.withColumn(
-        "rank", F.expr("row_number() over (partition by high, low, cut order by id, at)")).where("rank > 1 or cut")
-    return later.groupBy("id", F.expr("shiftright(at, 32)").alias("twin")).agg(
-        F.collect_list(F.expr("cast(at & 4294967295L as int)")).alias("cuts"))
+    found = docs.mapInArrow(
+        lambda batches: _windows(batches, k, log2_cells, bits),
+        "run long, id long, twin int, cut boolean, places array<struct<high: long, low: int, at: int>>")
+    # Equal windows have equal runs, so that the shuffle by run brings them together.
+    single = found.repartition("run").select("run", "id", "twin", "cut", F.inline("places"))
+    later = single.withColumn("rank", F.expr(
+        "row_number() over (partition by run, high, low, cut order by id, twin, at)")).where("rank > 1 or cut")
+    return later.groupBy("id", "twin").agg(F.collect_list("at").alias("cuts"))
 
 
 def _kept(batches: Iterator[pa.RecordBatch], k: int, with_text: bool) -> Iterator[pa.RecordBatch]:
@@ -232,7 +245,7 @@ def substring_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     keyed = docs.select(
         *(F.col(c) for c in columns), F.coalesce(F.col(id).cast("long"), F.lit(NO_ID)).alias("_s_id"),
         F.coalesce(F.col(text), F.lit("")).alias("_s_text"))
-    keyed = keyed.withColumn("_s_twin", F.expr("xxhash64(_s_text) & 2147483647L"))
+    keyed = keyed.withColumn("_s_twin", F.expr("cast(xxhash64(_s_text) & 2147483647L as int)"))
     cuts = cut_windows(keyed.select(F.col("_s_id").alias("id"), F.col("_s_twin").alias("twin"),
                                     F.col("_s_text").alias("text")), k, log2_cells)
     cuts = cuts.toDF("_s_id", "_s_twin", "_s_cuts").hint("shuffle_hash")

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from postlume.llm.decontaminate import contamination
 from postlume.llm.neardup import near_dedup
 from postlume.llm.quality import quality_rules
 from postlume.llm.substring import substring_dedup
+from postlume.llm.tokens import count_tokens, encode_pieces, ids_folder, read_ids, write_ids
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +41,29 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("twin").withColumnRenamed("id", "doc_id")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = ids_folder(spark)
+    write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return read_ids(spark, folder)
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": op2_token_counts,
+    "op4_token_ids": op4_token_ids,
+    "op5_pieces": op5_pieces,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_near_dedup": op9_near_dedup,

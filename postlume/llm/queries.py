@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from postlume.llm.decontaminate import contamination
+from postlume.llm.html import extract_main_text
+from postlume.llm.language import held_out, identify, learn
 from postlume.llm.neardup import near_dedup
 from postlume.llm.quality import quality_rules
 from postlume.llm.substring import substring_dedup
@@ -25,6 +27,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "n_removed_words", "kept")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    parser = learn(docs.select("doc_id", "text", "lang"))
+    return identify(docs.select("doc_id", held_out("doc_id").alias("held_out"), "text"), parser).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup(docs, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -41,6 +50,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("twin").withColumnRenamed("id", "doc_id")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -61,9 +75,11 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_main_text": op1_main_text,
     "op2_token_counts": op2_token_counts,
     "op4_token_ids": op4_token_ids,
     "op5_pieces": op5_pieces,
+    "op6_language": op6_language,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_near_dedup": op9_near_dedup,

@@ -95,7 +95,9 @@ def quality_rules(docs: DataFrame, text: str = "text", min_words: int = 20, max_
             f" or size(filter(l.w, w -> w rlike r'{SEPARATOR}')) <= {max_separators!r}D * size(l.w))"
             f" and not l.x rlike r'{BOILERPLATE}'))"))
     )
-    n_words = F.size("_q_words").cast("bigint")
+    # The row number times nothing keeps a filter on the results from being pushed below them: there it
+    # would spell out every step of the figures, each as often as it is used.
+    n_words = F.size("_q_words").cast("bigint") + F.monotonically_increasing_id() * 0
     lost = F.expr("aggregate(_q_judged, 0L, (a, l) -> a + if(l.ok, 0, l.n))")
     return (
         frame.select(

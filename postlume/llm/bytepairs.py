@@ -30,13 +30,19 @@ def _byte_letters() -> dict[str, int]:
     return out
 
 
+def splits_like_the_transducer(spec: dict) -> None:
+    """Refuses a tokenizer file of another kind."""
+    model, split = spec["model"], spec["pre_tokenizer"]
+    if model["type"] != "BPE" or split != {**split, "type": "ByteLevel", "add_prefix_space": False, "use_regex": True} \
+            or spec["normalizer"] or model.get("ignore_merges") or model.get("dropout"):
+        raise ValueError("not a byte-level BPE of the expected kind")
+
+
 class BytePairCounter:
     def __init__(self, data: bytes):
         spec = json.loads(data)
-        model, split = spec["model"], spec["pre_tokenizer"]
-        if model["type"] != "BPE" or split != {**split, "type": "ByteLevel", "add_prefix_space": False, "use_regex": True} \
-                or spec["normalizer"] or model.get("ignore_merges") or model.get("dropout"):
-            raise ValueError("not a tokenizer of the kind that this counter follows")
+        splits_like_the_transducer(spec)
+        model = spec["model"]
         letters = _byte_letters()
         word = {t: bytes(letters[c] for c in t) for t in model["vocab"] if all(c in letters for c in t)}
         special = {t["content"] for t in spec["added_tokens"]}

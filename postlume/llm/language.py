@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlume.llm.pretokens import END, LETTER, _classes
+from postlume.llm.pretokens import END, LETTER, classes
 from postlume.llm.spans import pieces, ranges, utf8
 
 STRETCH = 2048
@@ -37,7 +37,7 @@ _PHRASE = np.int32(1 << 30)
 def _letters(text: str) -> np.ndarray:
     """Code points in lower case, each run of other signs one 0."""
     points = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
-    kind = _classes()[points]
+    kind = classes()[points]
     points = np.where((kind == LETTER) | (kind > END), points, np.uint32(0))
     keep = np.ones(len(points), bool)
     keep[1:] = (points[1:] > 0) | (points[:-1] > 0)
@@ -152,10 +152,12 @@ def identify(docs: DataFrame, parser: CrossParser, text: str = "text") -> DataFr
     """The input with lang_pred and score; nothing but the text decides."""
     columns = [f for f in docs.schema.fields if f.name.lower() not in ("lang_pred", "score")]
     names = [f.name for f in columns]
-    sent = docs.sparkSession.sparkContext.broadcast(parser)
+    # Only its arrays are sent: a broadcast cannot carry the class to workers without this package.
+    sent = docs.sparkSession.sparkContext.broadcast(vars(parser))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = sent.value
+        parser = CrossParser.__new__(CrossParser)
+        vars(parser).update(sent.value)
         for batch in batches:
             texts = batch.column("_l_text")
             for first, end, _, _ in pieces(*utf8(texts)):

@@ -15,8 +15,10 @@ accepted: BPE, identity normalizer, dummy prefix, white space kept, byte fallbac
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 
 from postlume.llm.spans import ranges
+from postlume.llm.worker import once
 
 MARK = 0x2581
 SLOTS = 19
@@ -228,22 +230,33 @@ class PieceModel:
         return [flat[a + (flat[a:a + 1] == b" "):b] if b > a else b"" for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
 
 
+def _make_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse modulo 2^64."""
+    out = []
+    for base in (0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)):
+        powers = np.full(n, base, np.uint64)
+        powers[0] = 1
+        out.append(np.cumprod(powers))
+    return out[0], out[1]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    # Those for an uncommonly long text are not kept.
+    return once(("powers", n), lambda: _make_powers(n)) if n <= 1 << 23 else _make_powers(n)
+
+
 def distinct(points: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The kind of each unit, and one unit of each kind. Hashes sort; the characters decide."""
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    base = 0x9E3779B97F4A7C15
-    step = np.full(len(points) + 1, base, np.uint64)
-    step[0] = 1
-    np.cumprod(step, out=step)
-    back = np.full(len(points) + 1, pow(base, -1, 1 << 64), np.uint64)
-    back[0] = 1
-    np.cumprod(back, out=back)
+    step, back = _powers(1 << max(16, int(len(points)).bit_length()))
     sums = np.zeros(len(points) + 1, np.uint64)
     spread = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-    np.cumsum((spread ^ (spread >> np.uint64(29))) * step[:-1], out=sums[1:])
+    np.cumsum((spread ^ (spread >> np.uint64(29))) * step[:len(points)], out=sums[1:])
     key = (sums[starts + sizes] - sums[starts]) * back[starts] + sizes.astype(np.uint64)
-    _, one, kind = np.unique(key, return_index=True, return_inverse=True)
+    # Numbers by first appearance: a kind is new where its number exceeds all before.
+    kind = pd.factorize(key)[0].astype(np.int64)
+    one = np.flatnonzero(np.diff(np.maximum.accumulate(kind), prepend=-1))
     twin = one[kind]
     odd = sizes != sizes[twin]
     same = np.repeat(~odd, sizes)

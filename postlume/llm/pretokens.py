@@ -12,10 +12,12 @@ meeting is run again.
 from __future__ import annotations
 
 import sys
-from functools import cache
 
 import numpy as np
 
+from postlume.llm.spans import ranges
+from postlume.llm.worker import once
+
 OTHER, LETTER, DIGIT, SPACE, WHITE, QUOTE, END = range(7)
 _LETTERS = {c: 7 + i for i, c in enumerate("strvlemd")}
 CLASSES = 15
@@ -26,8 +28,7 @@ STATES = 12
 HERE, BEFORE = 1, 2
 
 
-@cache
-def _classes() -> np.ndarray:
+def _make_classes() -> np.ndarray:
     """Class of each code point; the classes of the pattern itself decide."""
     import regex
 
@@ -41,8 +42,11 @@ def _classes() -> np.ndarray:
     return out
 
 
-@cache
-def _machine() -> tuple[np.ndarray, np.ndarray]:
+def classes() -> np.ndarray:
+    return once(("classes",), _make_classes)
+
+
+def _make_machine() -> tuple[np.ndarray, np.ndarray]:
     """Next state and what starts, by state and class."""
     to, says = np.zeros((STATES, CLASSES), np.uint8), np.zeros((STATES, CLASSES), np.uint8)
     opening = {OTHER: IN_OTHER, LETTER: IN_LETTER, DIGIT: IN_DIGIT, SPACE: ONE_SPACE, WHITE: ONE_WHITE, QUOTE: OPEN, END: FRESH}
@@ -91,7 +95,7 @@ def _scan(maps: np.ndarray) -> np.ndarray:
 
 def _starts(kinds: np.ndarray, lanes: int) -> np.ndarray:
     """Whether a piece starts at each place."""
-    to, says = _machine()
+    to, says = once(("machine",), _make_machine)
     n = len(kinds)
     steps = max(1, -(-n // lanes))
     lanes = -(-n // steps)
@@ -130,7 +134,7 @@ def pretokens(texts: list[str], lanes: int = 4096) -> tuple[np.ndarray, np.ndarr
     inner = np.ones(len(points), bool)
     inner[ends] = False
     points[inner] = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    starts = np.flatnonzero(_starts(_classes()[points], lanes) | ~inner)
+    starts = np.flatnonzero(_starts(classes()[points], lanes) | ~inner)
     sizes = np.diff(np.append(starts, len(points)))
     real = inner[starts]
     starts, sizes = starts[real], sizes[real]
@@ -138,8 +142,6 @@ def pretokens(texts: list[str], lanes: int = 4096) -> tuple[np.ndarray, np.ndarr
 
 
 def strings(points: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> list[str]:
-    from postlume.llm.spans import ranges
-
     flat = points[ranges(starts, sizes)].tobytes().decode("utf-32-le")
     edge = np.concatenate([[0], np.cumsum(sizes)]).tolist()
     return [flat[a:b] for a, b in zip(edge[:-1], edge[1:])]

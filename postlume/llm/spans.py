@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from postlume.llm.worker import once
+
 #: Bytes worked on at a time; a longer text is one piece of its own.
 PIECE = 4 << 20
 
@@ -81,21 +83,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out)
 
 
-_TABLES: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-
-
-def _table(lane: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _make_table(lane: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte values, and the powers of the base and of its inverse over a block."""
-    if lane not in _TABLES:
-        base = _BASES[lane]
-        values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_WINDOW_BASES[lane]))
-        _TABLES[lane] = values, _powers(base, _BLOCK), _powers(pow(base, -1, 1 << 64), _BLOCK)
-    return _TABLES[lane]
+    base = _BASES[lane]
+    values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_WINDOW_BASES[lane]))
+    return values, _powers(base, _BLOCK), _powers(pow(base, -1, 1 << 64), _BLOCK)
 
 
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0) -> np.ndarray:
     """64-bit hashes of spans; starts and ends ascend, as those of words do."""
-    values, power, inverse = _table(lane)
+    values, power, inverse = once(("spans", lane), lambda: _make_table(lane))
     base, back = _BASES[lane], pow(_BASES[lane], -1, 1 << 64)
     low, high = np.zeros(len(starts), np.uint64), np.zeros(len(ends), np.uint64)
     shift, carry = np.ones(len(starts), np.uint64), 0

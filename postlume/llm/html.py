@@ -5,7 +5,8 @@ not. Each block has its text, the share of its characters inside links, the shar
 the elements that it stands in.
 
 Pass one decides on each block alone. Bad: inside an element that is never content (navigation,
-header of the page, footer, sidebar, form, notice, advert, comments; by tag, role, class or id), or mostly links.
+header of the page, footer, sidebar, form, notice, advert, comments; by tag, role, class or id), or mostly links
+(in an article: almost only links).
 Good: inside an article or main element, or long with enough stop words. Bad: long with few stop words. What is left is short and
 undecided.
 
@@ -172,14 +173,14 @@ def blocks(page: str) -> list[Block]:
 
 
 def main_text(page: str, stop_words: frozenset[str] = STOP_WORDS, long: int = 70, dense: float = 0.15, sparse: float = 0.05,
-              links: float = 0.4) -> str:
+              links: float = 0.4, content_links: float = 0.9) -> str:
     """The text of the good blocks, joined by spaces."""
     found = blocks(page)
     labels: list[bool | None] = []
     for b in found:
         words = WORD.findall(b.text.lower()) if not (b.never or b.content) else []
         share = sum(w in stop_words for w in words) / len(words) if words else 0.0
-        if b.never or (b.linked > links * b.chars and not b.heading):
+        if b.never or (b.linked > (content_links if b.content else links) * b.chars and not b.heading):
             labels.append(False)
         elif b.content:
             labels.append(True)

@@ -193,7 +193,7 @@ def cut_windows(docs: DataFrame, k: int, log2_cells: int) -> DataFrame:
     # Equal windows have equal runs, so that the shuffle by run brings them together.
     single = found.repartition("run").select("run", "id", "twin", "cut", F.inline("places"))
     later = single.withColumn("rank", F.expr(
-        "row_number() over (partition by run, high, low, cut order by id, twin, at)")).where("rank > 1 or cut")
+        "rank() over (partition by run, high, low, cut order by id, twin, at)")).where("rank > 1 or cut")
     return later.groupBy("id", "twin").agg(F.collect_list("at").alias("cuts"))
 
 

@@ -107,11 +107,10 @@ def _templates(original: pa.Array) -> Iterator[tuple]:
         for k, mark in marks.items():
             token[kind == k] = mark
         slot = np.where(kind > 0, value | np.uint64(1), np.uint64(0))
-        # Runs of names are one slot, whose value is that of the run.
+        # Runs of names are one slot, with the value of the last one: the first may be a common word that
+        # opened a sentence elsewhere.
         tail = np.zeros(n, bool)
         tail[1:] = is_name[1:] & is_name[:-1] & (doc[1:] == doc[:-1])
-        for i in np.flatnonzero(tail):
-            slot[i] = mix(slot[i - 1:i] * np.uint64(31) + slot[i:i + 1])[0] | np.uint64(1)
         last = np.ones(n, bool)
         last[:-1] = ~tail[1:]
         keep = solid & last

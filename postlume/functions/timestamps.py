@@ -82,8 +82,8 @@ def with_posted_instant(df: DataFrame, name: str, out: str) -> DataFrame:
 
     ISO-8601 text is parsed, anything else in it is NULL. A plain cast would also
     take partial dates and bare times (as today's), and refuse the basic forms.
-    A timestamp without zone is UTC; a bare date, like every other type, has no
-    instant and gives NULL.
+    A timestamp without zone is UTC; a bare date is its midnight in UTC (see
+    ``day_only`` for how it scores); every other type gives NULL.
     """
     kind = df.select(name).schema[0].dataType
     if isinstance(kind, T.TimestampType):
@@ -94,4 +94,11 @@ def with_posted_instant(df: DataFrame, name: str, out: str) -> DataFrame:
         # Two steps: the second refers to the groups often, the first runs once.
         return (df.withColumn("_iso", iso_parts(name)).withColumn(out, iso_instant("_iso"))
                 .drop("_iso"))
+    if isinstance(kind, T.DateType):
+        return df.withColumn(out, F.col(name).cast("timestamp"))
     return df.withColumn(out, F.lit(None).cast("timestamp"))
+
+
+def day_only(df: DataFrame, name: str | None) -> bool:
+    """Whether a source's time column holds bare dates: stored, but without an instant to score by."""
+    return bool(name) and isinstance(df.select(name).schema[0].dataType, T.DateType)

@@ -8,6 +8,7 @@ join (key, hash) rows, and the posts themselves join once, by their unique key.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -17,9 +18,9 @@ from pyspark.sql import functions as F
 
 from postlume import schema as S
 from postlume.functions.text import is_blank
-from postlume.operators.select import latest_per_key
 from postlume.operators.tasks import TASKS, Task, with_answer
 from postlume.session import shared_dir
+from postlume.sinks.files import Files
 
 ANSWERS = "prompt_hash string, answer string, task string, model string"
 
@@ -37,6 +38,7 @@ class ModelBackend:
     answers: str | None = None
     concurrency: int = 5
     partitions: int | None = None
+    calls_per_task: int = 200
 
     def folder(self, spark: SparkSession) -> str:
         return self.answers or f"{shared_dir(spark)}/postlume-answers"
@@ -70,69 +72,96 @@ def _hash(task: Task, prompt: Column) -> Column:
     return F.sha2(F.concat_ws("\x1f", F.lit(task.name), F.lit(task.instructions), prompt), 256)
 
 
-def known_answers(spark: SparkSession, task: Task, backend: ModelBackend) -> DataFrame:
-    """Stored answers, one per prompt hash."""
+def stored_answers(spark: SparkSession, task: Task, backend: ModelBackend) -> DataFrame:
+    """(prompt_hash, answer) of a task, as stored."""
     try:
         stored = spark.read.schema(ANSWERS).parquet(backend.folder(spark))
     except AnalysisException:  # nothing has been stored yet
         stored = spark.createDataFrame([], ANSWERS)
-    return (stored.where((F.col("task") == task.name) & (F.col("model") == backend.model))
-            .groupBy("prompt_hash").agg(F.min("answer").alias("answer")))
+    return stored.where((F.col("task") == task.name) & (F.col("model") == backend.model)).select(
+        "prompt_hash", "answer")
 
 
-def ask_missing(posts: DataFrame, task: Task, backend: ModelBackend,
+def _asked(posts: DataFrame, task: Task, keys: Sequence[str], text: str, author: str) -> DataFrame:
+    """(prompt_hash, one) for each distinct prompt: ``one`` is the key of a post that has it."""
+    prompt = task.question(F.col(text), F.col(author))
+    return posts.where(~is_blank(F.col(text))).groupBy(_hash(task, prompt).alias("prompt_hash")).agg(
+        F.min(F.struct(*keys)).alias("one"))
+
+
+def ask_missing(posts: DataFrame, task: Task, backend: ModelBackend, keys: Sequence[str] = S.KEYS,
                 text: str = "text", author: str = "author") -> None:
     """Ask for every distinct prompt that has no stored answer; store the answers.
 
-    A prompt that very many posts share is cut down to one row per map task
-    before the shuffle, and that shuffle also spreads the calls.
+    Prompts meet by hash, with the key of one post each; only for those that have
+    no answer the post is fetched by that key. Calls are spread by their number,
+    ``calls_per_task`` each, not by bytes, which say nothing about how long they take.
     """
     spark = posts.sparkSession
     if str(spark.conf.get("spark.speculation", "false")).lower() == "true":
         raise ValueError("speculative execution would ask the model twice; switch it off")
-    prompt = task.question(F.col(text), F.col(author))
-    prompts = posts.where(~is_blank(F.col(text))).select(
-        _hash(task, prompt).alias("prompt_hash"), prompt.alias("prompt"))
-    distinct = latest_per_key(prompts, ["prompt_hash"], [F.col("prompt_hash")])
-    misses = distinct.join(known_answers(spark, task, backend), "prompt_hash", "left_anti")
-    if backend.partitions:
-        misses = misses.repartition(backend.partitions, "prompt_hash")
-    answers = misses.mapInPandas(_asker(backend, task), "prompt_hash string, answer string")
-    (answers.where("answer IS NOT NULL")
-     .withColumns({"task": F.lit(task.name), "model": F.lit(backend.model)})
-     .write.mode("append").partitionBy("task", "model").parquet(backend.folder(spark)))
-
-
-def answered(posts: DataFrame, tasks: Sequence[str], backend: ModelBackend,
-             keys: Sequence[str] = S.KEYS, text: str = "text",
-             author: str = "author") -> DataFrame:
-    """(keys, columns and status of every task) from the stored answers."""
+    folder = f"{shared_dir(spark)}/postlume-misses-{uuid.uuid4().hex}"
+    _asked(posts, task, keys, text, author).join(
+        stored_answers(spark, task, backend), "prompt_hash", "left_anti").write.parquet(folder)
+    misses = spark.read.parquet(folder).select("prompt_hash", "one.*")
+    calls = misses.count()
+    if calls:
+        prompt = task.question(F.col(text), F.col(author)).alias("prompt")
+        tasks = backend.partitions or -(-calls // backend.calls_per_task)
+        answers = posts.join(misses, list(keys)).select("prompt_hash", prompt).repartition(tasks).mapInPandas(
+            _asker(backend, task), "prompt_hash string, answer string")
+        (answers.where("answer IS NOT NULL")
+         .withColumns({"task": F.lit(task.name), "model": F.lit(backend.model)})
+         .write.mode("append").partitionBy("task", "model").parquet(backend.folder(spark)))
+    Files(spark, folder).remove(folder)
+
+
+def answered(posts: DataFrame, tasks: Sequence[str], backend: ModelBackend, staging: str,
+             keys: Sequence[str] = S.KEYS, text: str = "text", author: str = "author") -> DataFrame:
+    """(keys, columns and status of every task) from the stored answers; written to ``staging``.
+
+    The answers of this batch are picked out and made unique first, in a table of
+    their own: with no aggregate below the join, a text that very many posts share is
+    split over tasks. Blank posts have no prompt and go around the joins.
+    """
+    spark = posts.sparkSession
     used = [TASKS[name] for name in tasks]
     asked = ~is_blank(F.col(text))
     rows = posts.select(*keys, asked.alias("_asked"), *[
         F.when(asked, _hash(t, t.question(F.col(text), F.col(author)))).alias(f"_hash_{t.name}")
         for t in used])
+    blank, rows = rows.where("NOT _asked"), rows.where("_asked")
     for task in used:
-        found = known_answers(posts.sparkSession, task, backend).withColumnsRenamed(
-            {"prompt_hash": f"_hash_{task.name}", "answer": f"_answer_{task.name}"})
-        rows = rows.join(found, f"_hash_{task.name}", "left")
+        wanted = _asked(posts, task, keys, text, author).select("prompt_hash")
+        folder = f"{staging}-{task.name}"
+        (stored_answers(spark, task, backend).join(wanted, "prompt_hash", "left_semi")
+         .groupBy("prompt_hash").agg(F.min("answer").alias("answer")).write.parquet(folder))
+        found = spark.read.schema("prompt_hash string, answer string").parquet(folder)
+        rows = rows.join(found.toDF(f"_hash_{task.name}", f"_answer_{task.name}"), f"_hash_{task.name}", "left")
+        blank = blank.withColumn(f"_answer_{task.name}", F.lit(None).cast("string"))
+    rows = rows.unionByName(blank)
     for task in used:
         rows = with_answer(rows, task, f"_answer_{task.name}", "_asked")
-    return rows.drop("_asked", *[f"_{part}_{t.name}" for t in used for part in ("hash", "answer")])
+    rows.drop("_asked", *[f"_{part}_{t.name}" for t in used for part in ("hash", "answer")]).write.parquet(staging)
+    return spark.read.parquet(staging)
 
 
 def annotate_by_model(posts: DataFrame, tasks: Sequence[str], backend: ModelBackend,
                       keys: Sequence[str] = S.KEYS, text: str = "text",
-                      author: str = "author") -> DataFrame:
+                      author: str = "author", staging: str | None = None) -> DataFrame:
     """Add the columns of the tasks; ``posts`` is unique by ``keys``.
 
-    Runs the calls at once. ``posts`` is read once per task: pass a stored frame.
+    Runs the calls at once. ``posts`` is read several times per task: pass a stored
+    frame. Keys, answers and statuses are kept in ``staging``.
     """
     if not tasks:
         return posts
+    if unknown := sorted(set(tasks) - set(TASKS)):
+        raise ValueError(f"unknown tasks {unknown}; register_task adds one")
     for name in tasks:
-        ask_missing(posts, TASKS[name], backend, text, author)
-    return posts.join(answered(posts, tasks, backend, keys, text, author), list(keys), "left")
+        ask_missing(posts, TASKS[name], backend, keys, text, author)
+    staging = staging or f"{shared_dir(posts.sparkSession)}/postlume-answered-{uuid.uuid4().hex}"
+    return posts.join(answered(posts, tasks, backend, staging, keys, text, author), list(keys), "left")
 
 
 def status_counts(posts: DataFrame, tasks: Sequence[str]) -> DataFrame:

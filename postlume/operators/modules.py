@@ -83,18 +83,24 @@ def switched_on(switches: Mapping[str, bool | str] | Sequence[str] | None = None
 
 def enrich(posts: DataFrame, modules: Sequence[Module], as_of: datetime,
            annotate: Callable[[DataFrame, Sequence[str]], DataFrame] = annotate_by_rules,
-           version: str = S.ENRICHMENT_VERSION) -> DataFrame:
+           version: str = S.ENRICHMENT_VERSION, day_only: bool = False) -> DataFrame:
     """Normalised posts to rows of the target: metadata, module columns, target names.
 
     Only the columns of the given modules appear, so that an upsert leaves those
     of the others alone. With the rule backend this is one pass without shuffle.
+    ``day_only``: the source's times are bare dates. They are stored, but modules
+    see no time of publication, as a day has no instant.
     """
     moment = instant(as_of)
     df = posts.withColumns({"enriched_at": moment, "enrichment_version": F.lit(version),
                             "date": F.to_date(moment)})
+    if day_only:
+        df = df.withColumns({"_posted_day": F.col("posted_at"), "posted_at": F.lit(None).cast("timestamp")})
     df = annotate(df, [m.task for m in modules if m.task])
     for module in modules:
         if module.transform:
             df = module.transform(df, as_of)
+    if day_only:
+        df = df.withColumn("posted_at", F.col("_posted_day")).drop("_posted_day")
     df = df.withColumnsRenamed(S.TARGET_NAMES)
     return df.select(*[f.name for f in target_schema() if f.name in df.columns])

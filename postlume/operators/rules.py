@@ -7,7 +7,7 @@ No row is exploded, joined or shuffled, whatever the length of its text.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,10 +120,21 @@ _VOCABULARY = {
 }
 
 
+def register_rule(task: str, rule: Callable[[DataFrame, str], DataFrame],
+                  vocabulary: Iterable[str] = ()) -> None:
+    """Let the rule backend answer a task: ``rule(df, text)`` adds its columns. It finds the words of
+    the text in ``_words`` and those that are in ``vocabulary`` in ``_hits``."""
+    _RULES[task] = rule
+    _VOCABULARY[task] = set(vocabulary)
+
+
 def annotate_by_rules(df: DataFrame, tasks: Iterable[str], text: str = "text") -> DataFrame:
     """Add the columns of the named tasks. A blank text gets the defaults: it has
     no words, and every rule maps no words to its default."""
-    tasks = [name for name in _RULES if name in set(tasks)]
+    asked = set(tasks)
+    if unknown := sorted(asked - set(_RULES)):
+        raise ValueError(f"no rules for the tasks {unknown}; register_rule adds one")
+    tasks = [name for name in _RULES if name in asked]
     if not tasks:
         return df
     df = df.withColumn("_words", X.tokens(F.coalesce(F.col(text), F.lit(""))))

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SALTS = 64
-
 
 def not_enriched(posts: DataFrame, enriched_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not among ``enriched_keys``; a NULL key never matches.
@@ -40,8 +38,8 @@ def top_per_group(rows: DataFrame, group: Sequence[str], order: Sequence[Column]
 
     Every map task keeps ``k`` rows per group before the shuffle as long as ``k``
     is within ``windowGroupLimitThreshold``. Beyond that a first ranking runs on
-    salted groups, so that a group holding most of the rows is spread over many
-    tasks and only ``k`` rows per salt reach the final ranking.
+    salted groups, as many salts as shuffle partitions, so that a group holding most
+    of the rows is spread over all tasks and only ``k`` rows per salt go on.
     """
     spark = rows.sparkSession
     threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
@@ -52,7 +50,8 @@ def top_per_group(rows: DataFrame, group: Sequence[str], order: Sequence[Column]
 
     if k <= threshold:
         return ranked(rows, group).drop("_rank")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(_SALTS))
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts))
     first = ranked(rows.withColumn("_salt", salt), [*group, "_salt"]).drop("_rank", "_salt")
     return ranked(first, group).drop("_rank")
 
@@ -63,12 +62,19 @@ def pending(candidates: DataFrame, enriched_keys: DataFrame | None, limit: int |
     ``candidates`` is (source_id, scraped_at); texts do not travel through the
     anti-join or the top-k. ``copies`` counts the selected rows of an id and
     ``scraped_at`` is the newest of them. The limit counts rows, as selected,
-    before copies fold.
+    before copies fold; it is meant to be small, as its rows meet in one task.
     """
     fresh = candidates.where(F.col("source_id").isNotNull())
+
+    def folded(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("source_id").agg(
+            F.max("scraped_at").alias("scraped_at"), F.count(F.lit(1)).alias("copies"))
+
+    if limit is None:
+        # Copies fold in the map tasks, so that an id with very many of them joins as one row.
+        fresh = folded(fresh)
     if enriched_keys is not None:
         fresh = not_enriched(fresh, enriched_keys, ["source_id"])
-    if limit is not None:
-        fresh = fresh.orderBy(F.col("scraped_at").desc_nulls_last(), "source_id").limit(limit)
-    return fresh.groupBy("source_id").agg(
-        F.max("scraped_at").alias("scraped_at"), F.count(F.lit(1)).alias("copies"))
+    if limit is None:
+        return fresh
+    return folded(fresh.orderBy(F.col("scraped_at").desc_nulls_last(), "source_id").limit(limit))

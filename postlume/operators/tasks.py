@@ -112,6 +112,12 @@ MODERATION = Task(
 TASKS = {task.name: task for task in (SENTIMENT, ENTITIES, TOPIC, MODERATION)}
 
 
+def register_task(task: Task) -> Task:
+    """Add a task for the model backend; modules name it."""
+    TASKS[task.name] = task
+    return task
+
+
 def _literal(value, kind: T.DataType) -> str:
     """The default values as SQL: texts, numbers, booleans and empty lists."""
     if isinstance(value, list):

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlume import schema as S
+from postlume.functions.timestamps import day_only
 from postlume.operators.balance import spread_small
-from postlume.operators.model import ModelBackend, annotate_by_model, answered, status_counts
+from postlume.operators.model import ModelBackend, annotate_by_model, status_counts
 from postlume.operators.modules import Module, enrich, switched_on
 from postlume.operators.rules import annotate_by_rules
 from postlume.operators.select import dedup_posts, pending
@@ -27,9 +28,11 @@ _PENDING = "source_id string, scraped_at timestamp, copies bigint"
 
 @dataclass
 class ProviderReport:
-    """``fetched`` counts selected rows, ``enriched`` what was committed."""
+    """``fetched`` counts selected rows, ``enriched`` what was committed, ``null_ids`` the posts
+    that were dropped because they have no id."""
 
     fetched: int = 0
+    null_ids: int = 0
     enriched: int = 0
     inserted: int | None = 0
     updated: int | None = 0
@@ -114,14 +117,16 @@ def _enrich_new(spark, scratch, source, provider, target, modules, as_of, limit,
 
     # Narrow first: ids and times only. Stored, so that it is computed once and
     # its true size decides the join below.
-    pending(source_keys(source, provider), done, limit).write.parquet(f"{scratch}/pending")
+    keys = source_keys(source, provider)
+    null_ids = keys.where("source_id IS NULL").count()
+    pending(keys, done, limit).write.parquet(f"{scratch}/pending")
     wanted = spark.read.schema(_PENDING).parquet(f"{scratch}/pending")
     totals = wanted.agg(
         F.sum("copies").alias("rows"), F.max("copies").alias("most"),
         F.count(F.lit(1)).alias("ids"), F.min("scraped_at").alias("oldest"),
         F.max(F.col("scraped_at").isNull()).alias("any_undated")).first()
     if not totals["rows"]:
-        return ProviderReport(skipped="nothing new")
+        return ProviderReport(null_ids=null_ids, skipped="nothing new")
 
     # With a limit, a copy scraped at the same instant may lie just beyond it.
     unique = limit is None and totals["most"] == 1
@@ -130,24 +135,26 @@ def _enrich_new(spark, scratch, source, provider, target, modules, as_of, limit,
     if backend:
         posts.write.parquet(f"{scratch}/posts")
         posts = spark.read.schema(S.NORMALIZED).parquet(f"{scratch}/posts")
-        annotate = partial(annotate_by_model, backend=backend)
+        annotate = partial(annotate_by_model, backend=backend, staging=f"{scratch}/answered")
     else:
         posts = spread_small(posts, rows=totals["ids"])
     # None of the selected keys is in the version they were selected against.
-    outcome = target.upsert(enrich(posts, modules, as_of, annotate), absent_at=version)
-    report = ProviderReport(totals["rows"], totals["ids"], outcome.inserted, outcome.updated)
+    enriched = enrich(posts, modules, as_of, annotate, day_only=day_only(source, provider.posted_at))
+    outcome = target.upsert(enriched, absent_at=version)
+    report = ProviderReport(totals["rows"], null_ids, totals["ids"], outcome.inserted, outcome.updated)
     if outcome.inserted is not None:
         report.enriched = outcome.inserted + outcome.updated
     tasks = [m.task for m in modules if m.task]
     if backend and tasks:
-        counted = status_counts(answered(posts, tasks, backend), tasks)
+        counted = status_counts(spark.read.parquet(f"{scratch}/answered"), tasks)
         report.statuses = {(r["task"], r["status"]): r["n"] for r in counted.collect()}
     return report
 
 
 def run_statistics(selected: DataFrame, written: DataFrame) -> DataFrame:
-    """Rows selected and rows written per source table."""
-    a = selected.groupBy("source_table").agg(F.count(F.lit(1)).alias("fetched"))
+    """Rows selected, rows dropped as they have no id, and rows written, per source table."""
+    a = selected.groupBy("source_table").agg(
+        F.count("source_id").alias("fetched"), F.count_if(F.col("source_id").isNull()).alias("null_ids"))
     b = written.groupBy("source_table").agg(F.count(F.lit(1)).alias("written"))
     return a.join(b, "source_table", "left").select(
-        "source_table", "fetched", F.coalesce("written", F.lit(0)).alias("written"))
+        "source_table", "fetched", "null_ids", F.coalesce("written", F.lit(0)).alias("written"))

@@ -373,6 +373,15 @@ SELECT {TWEET_COLUMNS} FROM (SELECT * FROM ({TWEETS}) WHERE tweet_text IS NOT NU
     "unenriched_posts": f"""
 SELECT source_table, source_id, author, region, {stamp('scraped_at')} FROM ({DOCUMENTS}) d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
+    "pending_hot_id": f"""
+SELECT source_id, {stamp('max(scraped_at)', 'scraped_at')}, count(*) AS copies FROM (
+  SELECT CASE WHEN event_type = 'view' THEN 'hot' WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS source_id,
+         ts AS scraped_at FROM events) e
+WHERE source_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labels WHERE CAST(doc_id AS VARCHAR) = source_id)
+GROUP BY source_id""",
+    "posted_at_types": """
+SELECT event_id, epoch_us(ts) AS plain_us, epoch_us(CAST(CAST(ts AS DATE) AS TIMESTAMP)) AS day_us,
+       epoch_us(date_trunc('second', ts)) AS text_us, CAST(NULL AS BIGINT) AS number_us FROM events""",
     "topk_per_provider": f"""
 SELECT author, source_id, {stamp('scraped_at')} FROM (
   SELECT *, row_number() OVER (PARTITION BY author ORDER BY scraped_at DESC, source_id) AS n
@@ -425,11 +434,12 @@ SELECT 'documents' AS source_table, CAST(doc_id AS VARCHAR) AS source_id,
        (length(text) % 100) / 100::DOUBLE AS sentiment_score, 'sentiment' AS sentiment_emotions,
        '' AS sentiment_topics, 'ok' AS sentiment_status FROM documents""",
     "run_stats": f"""
-SELECT source_table, count(*) AS fetched, count(DISTINCT source_id) AS written
+SELECT source_table, count(source_id) AS fetched, count(*) - count(source_id) AS null_ids,
+       count(DISTINCT source_id) AS written
 FROM (SELECT source_table, source_id FROM ({UNION}) UNION ALL
-      SELECT 'events', CAST(user_id AS VARCHAR) FROM events) u
-WHERE NOT (source_table = 'documents'
-           AND source_id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels))
+      SELECT 'events', CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END FROM events) u
+WHERE source_table <> 'documents'
+      OR source_id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)
 GROUP BY source_table""",
     "enrich_full": _ALL_RULES,
     "enrich_run": f"""

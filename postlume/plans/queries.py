@@ -19,7 +19,7 @@ from postlume.operators.merge import coerce, merge_frames
 from postlume.operators.model import ModelBackend, annotate_by_model
 from postlume.operators.modules import enrich, switched_on
 from postlume.operators.rules import annotate_by_rules
-from postlume.operators.select import dedup_posts, latest_per_key, not_enriched, top_per_group
+from postlume.operators.select import dedup_posts, latest_per_key, not_enriched, pending, top_per_group
 from postlume.operators.tasks import SENTIMENT, with_answer
 from postlume.plans import inputs as I
 from postlume.plans.job import run, run_statistics
@@ -168,6 +168,28 @@ def unenriched_posts(spark, sf_dir):
     return flat(fresh.select("source_table", "source_id", "author", "region", "scraped_at"))
 
 
+@query
+def pending_hot_id(spark, sf_dir):
+    """What is left to enrich where one id, that of all views, has a large part of all rows."""
+    ids = F.when(F.col("event_type") == "view", F.lit("hot")).when(
+        F.col("event_type") != "error", F.col("user_id").cast("string"))
+    candidates = I.table(spark, sf_dir, "events").select(
+        ids.alias("source_id"), F.col("ts").cast("timestamp").alias("scraped_at"))
+    done = I.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("source_id"))
+    return flat(pending(candidates, done, None))
+
+
+@query
+def posted_at_types(spark, sf_dir):
+    """Times of publication by the type they have in the source."""
+    events = I.table(spark, sf_dir, "events").select(
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("plain"), F.to_date("ts").alias("day"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("text"), F.col("event_id").alias("number"))
+    for name in ("plain", "day", "text", "number"):
+        events = with_posted_instant(events, name, f"{name}_at")
+    return events.select("event_id", *[F.unix_micros(f"{n}_at").alias(f"{n}_us") for n in ("plain", "day", "text", "number")])
+
+
 @query
 def topk_per_provider(spark, sf_dir):
     rows = posts(spark, sf_dir, "documents").select("author", "source_id", "scraped_at")
@@ -360,13 +382,15 @@ def model_backend_fake(spark, sf_dir):
 
 @query
 def run_stats(spark, sf_dir):
-    """Selected and written rows; events share ids, so fewer are written than read."""
+    """Selected and written rows; events share ids, so fewer are written than read, and errors
+    stand for rows without an id."""
     events = I.table(spark, sf_dir, "events").select(
-        F.lit("events").alias("source_table"), F.col("user_id").cast("string").alias("source_id"),
+        F.lit("events").alias("source_table"),
+        F.when(F.col("event_type") != "error", F.col("user_id").cast("string")).alias("source_id"),
         F.col("ts").cast("timestamp").alias("scraped_at"))
     rows = not_enriched(all_posts(spark, sf_dir).select(*S.KEYS, "scraped_at").unionByName(events),
                         labelled_keys(spark, sf_dir), S.KEYS)
-    return run_statistics(rows, dedup_posts(rows, S.KEYS))
+    return run_statistics(rows, dedup_posts(rows.where("source_id IS NOT NULL"), S.KEYS))
 
 
 @query

@@ -10,13 +10,14 @@ from pyspark.sql import types as T
 
 from postlume import schema as S
 from postlume.operators.merge import coerce
+from postlume.operators.modules import target_schema
 
 
-def create_table(spark: SparkSession, name: str, schema: T.StructType = S.ENRICHMENTS,
+def create_table(spark: SparkSession, name: str, schema: T.StructType | None = None,
                  partition: str | None = S.PARTITION, using: str = "parquet",
                  location: str | None = None) -> None:
     """``CREATE TABLE IF NOT EXISTS``, Snappy Parquet, partitioned by day."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema or target_schema())
     codec = {"parquet": "'compression' = 'snappy'"}.get(
         using, "'write.format.default' = 'parquet', 'write.parquet.compression-codec' = 'snappy'")
     clauses = [f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {using}"]
@@ -31,9 +32,9 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType = S.ENRICH
 class CatalogTable:
     """Same interface as ``SnapshotTable``, for a catalog table with MERGE."""
 
-    def __init__(self, spark: SparkSession, name: str, schema: T.StructType = S.ENRICHMENTS,
+    def __init__(self, spark: SparkSession, name: str, schema: T.StructType | None = None,
                  keys: Sequence[str] = S.KEYS, using: str = "iceberg"):
-        self.spark, self.name, self.schema = spark, name, schema
+        self.spark, self.name, self.schema = spark, name, schema or target_schema()
         self.keys, self.using = list(keys), using
 
     def create(self) -> CatalogTable:

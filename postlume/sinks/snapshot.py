@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlume import schema as S
+from postlume.operators.modules import target_schema
 from postlume.operators.merge import coerce, merge_frames
 from postlume.sinks.files import Files
 
@@ -35,10 +36,10 @@ class Upserted:
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = S.ENRICHMENTS,
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None,
                  keys: Sequence[str] = S.KEYS, partition: str | None = S.PARTITION):
         self.spark, self.path = spark, path.rstrip("/")
-        self.schema, self.keys, self.partition = schema, list(keys), partition
+        self.schema, self.keys, self.partition = schema or target_schema(), list(keys), partition
         self._files = Files(spark, self.path)
 
     # -- versions ----------------------------------------------------------

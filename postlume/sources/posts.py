@@ -23,10 +23,15 @@ def source_id(provider: Provider) -> str:
     return f"CAST({_quoted(provider.id)} AS STRING) AS source_id"
 
 
+def scraped_at(provider: Provider) -> str:
+    """The scrape time; a value that is none is NULL, as a missing one."""
+    return f"TRY_CAST({_quoted(provider.scraped_at)} AS TIMESTAMP) AS scraped_at"
+
+
 def source_keys(source: DataFrame, provider: Provider) -> DataFrame:
     """(source_id, scraped_at) of the posts that have a text: all that selection needs."""
     return source.where(f"({provider.text}) IS NOT NULL").selectExpr(
-        source_id(provider), f"CAST({_quoted(provider.scraped_at)} AS TIMESTAMP) AS scraped_at")
+        source_id(provider), scraped_at(provider))
 
 
 def normalize(source: DataFrame, provider: Provider) -> DataFrame:
@@ -40,7 +45,9 @@ def normalize(source: DataFrame, provider: Provider) -> DataFrame:
         return f"{value} AS {name}"
 
     def count(column: str | None, name: str) -> str:
-        value = f"coalesce(TRY_CAST({_quoted(column)} AS BIGINT), 0L)" if column else "0L"
+        # Text such as '12.7' is a number too: its fraction is cut, as that of a DOUBLE is.
+        value = (f"coalesce(TRY_CAST({_quoted(column)} AS BIGINT), TRY_CAST(TRY_CAST(CAST({_quoted(column)} AS STRING) "
+                 "AS DECIMAL(38, 6)) AS BIGINT), 0L)") if column else "0L"
         return f"{value} AS {name}"
 
     present = source.where(f"({provider.text}) IS NOT NULL")
@@ -61,7 +68,7 @@ def normalize(source: DataFrame, provider: Provider) -> DataFrame:
         f"{posted} AS posted_at",
         text(provider.keyword, "keyword"),
         text(provider.region, "region"),
-        f"CAST({_quoted(provider.scraped_at)} AS TIMESTAMP) AS scraped_at",
+        scraped_at(provider),
         text(provider.url, "source_url"))
 
 

@@ -121,7 +121,7 @@ def test_posted_at_by_source_type(spark):
         df = with_posted_instant(df, name, f"{name}_at")
     row = df.select(*[F.unix_seconds(f"{n}_at").alias(n) for n in "abcde"]).first()
     assert (row.a, row.b, row.e) == (1705312800,) * 3
-    assert row.c is None and row.d is None
+    assert row.c == 1705276800 and row.d is None
 
 
 def test_blank_as_python_strips(spark):

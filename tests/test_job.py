@@ -159,3 +159,38 @@ def test_stream_in_batches_and_again(spark, world, tmp_path):
     # The whole input once more, as after a lost checkpoint: nothing is added or changed.
     start("c2")
     assert world.rows() == {**first, **{k: v for k, v in world.rows().items() if k[1] == "3"}}
+
+
+def test_nothing_is_lost_silently(world):
+    """Rows without an id are counted, bare dates are stored and score nothing, bad scrape times and
+    fractions in text do not stop a source."""
+    ddl = "id string, text string, who string, hearts string, at date, scraped_at string"
+    day = datetime(2024, 1, 31).date()
+    world.put("red", [("1", "a", "ann", "12.7", day, "2024-01-01 00:00:00"), (None, "b", "ann", "1", day, None),
+                      ("2", "c", "ann", "x", None, "no time")], ddl)
+    report = world.run(providers="red").providers["red"]
+    assert (report.fetched, report.null_ids, report.enriched, report.skipped) == (2, 1, 2, None)
+    first, second = world.rows()[("red", "1")], world.rows()[("red", "2")]
+    assert first.posted_at.replace(tzinfo=UTC) == datetime(2024, 1, 31, tzinfo=UTC) and first.time_adjusted_score == 0
+    assert (first.likes, second.likes, second.scraped_at, second.posted_at) == (12, 0, None, None)
+
+
+def test_an_added_module(spark, world, tmp_path, monkeypatch):
+    from pyspark.sql import types as T
+
+    from postlume.operators import modules as M
+    from postlume.operators import rules as R
+
+    monkeypatch.setattr(M, "_modules", dict(M._modules))
+    for name in ("_RULES", "_VOCABULARY"):
+        monkeypatch.setattr(R, name, dict(getattr(R, name)))
+    M.register_module(M.Module("size", T.StructType([T.StructField("n_chars", T.IntegerType())]),
+                               transform=lambda df, as_of: df.withColumn("n_chars", F.length("text"))))
+    M.register_module(M.Module("greeting", T.StructType([T.StructField("greets", T.BooleanType())]), task="greeting"))
+    world.target = SnapshotTable(spark, str(tmp_path / "wider"))
+    world.put("red", [post("1", 1, "hello you"), post("2", 2, "bye")])
+    assert "register_rule" in world.run(providers="red").providers["red"].skipped
+    R.register_rule("greeting", lambda df, text: df.withColumn("greets", F.array_contains("_hits", "hello")), {"hello"})
+    assert world.run(providers="red").providers["red"].enriched == 2
+    rows = world.rows()
+    assert [(rows[("red", i)].n_chars, rows[("red", i)].greets) for i in "12"] == [(9, True), (3, False)]

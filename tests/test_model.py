@@ -103,10 +103,31 @@ def test_answer_schemas_and_temperatures():
 
 
 def test_plan_moves_hashes_not_texts(spark, plan, notes, tmp_path):
-    from postlume.operators.model import answered
-    b = backend(notes, tmp_path)
+    from postlume.operators.model import _asked
     posts(spark, ["x", "y"]).write.parquet(str(tmp_path / "p"))
     df = spark.read.parquet(str(tmp_path / "p"))
-    annotate_by_model(df, ["sentiment"], b).collect()
-    text = plan(answered(df, ["sentiment"], b))
-    assert "MapInPandas" not in text and "ArrowEvalPython" not in text
+    narrow = _asked(df, SENTIMENT, S.KEYS, "text", "author")
+    text = plan(narrow)
+    exchanges = text[text.index("Exchange\n", text.index("(1)")):]
+    assert narrow.columns == ["prompt_hash", "one"] and "partial_min" in text
+    assert not [line for line in exchanges.splitlines() if line.startswith("Arguments: hashpartitioning") and "text" in line]
+
+
+def test_calls_are_spread_by_number(spark, notes, tmp_path):
+    b = backend(notes, tmp_path, calls_per_task=5)
+    annotate_by_model(posts(spark, [f"text {i}" for i in range(40)]), ["sentiment"], b).collect()
+    files = list((tmp_path / "answers").rglob("part-*.parquet"))
+    assert len(files) >= 4
+
+
+def test_blank_and_shared_texts(spark, notes, tmp_path):
+    b = backend(notes, tmp_path)
+    df = posts(spark, ["same"] * 30 + [" "] * 30 + [None])
+    rows = annotate_by_model(df, ["sentiment", "topic"], b).collect()
+    assert len(rows) == 61 and len(calls(notes)) == 2
+    assert sum(r.sentiment_status == "blank" for r in rows) == 31
+
+
+def test_unknown_task_is_an_error(spark, notes, tmp_path):
+    with pytest.raises(ValueError, match="unknown tasks"):
+        annotate_by_model(posts(spark, ["x"]), ["no_such"], backend(notes, tmp_path))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from postlume.llm.licenses import KNOWN, STEPS
 from postlume.llm.quality import BOILERPLATE, MARKED, SEPARATOR, TERMINAL
 
 _OP8 = rf"""
@@ -43,4 +44,26 @@ base AS (
 SELECT *, NOT base_failed AND n_removed_words <= 0.3::DOUBLE * n_words AS kept FROM base
 """
 
-ORACLE: dict[str, str] = {"op8_quality_rules": _OP8}
+
+
+def _canonical(text: str) -> str:
+    out = f"lower({text})"
+    for pattern, to in STEPS:
+        out = f"regexp_replace({out}, '{pattern}', '{to.replace('{1}', chr(92) + '1')}', 'g')"
+    return f"trim({out})"
+
+
+_KNOWN = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in row)) for row in KNOWN)
+_OP3 = f"""
+WITH known AS (SELECT DISTINCT {_canonical('t')} AS form, license_id FROM (VALUES {_KNOWN}) k(license_id, t)),
+units AS (
+  SELECT doc_id, text AS t, true AS whole FROM documents WHERE text IS NOT NULL
+  UNION ALL
+  SELECT doc_id, unnest(string_split(text, chr(10))), false FROM documents WHERE text IS NOT NULL),
+forms AS (SELECT doc_id, whole, {_canonical('t')} AS form FROM units)
+SELECT doc_id, license_id, bool_or(whole) AS whole,
+       count(DISTINCT CASE WHEN NOT whole THEN form END) AS n_lines
+FROM forms JOIN known USING (form) GROUP BY doc_id, license_id
+"""
+
+ORACLE: dict[str, str] = {"op3_license_scan": _OP3, "op8_quality_rules": _OP8}

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from postlume.llm.decontaminate import contamination
 from postlume.llm.html import extract_main_text
 from postlume.llm.language import held_out, identify, learn
+from postlume.llm.licenses import license_scan
 from postlume.llm.neardup import near_dedup
 from postlume.llm.quality import quality_rules
 from postlume.llm.substring import substring_dedup
@@ -61,6 +62,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan(docs).withColumnRenamed("id", "doc_id")
+
+
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     folder = ids_folder(spark)
@@ -77,6 +83,7 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_token_counts": op2_token_counts,
+    "op3_license_scan": op3_license_scan,
     "op4_token_ids": op4_token_ids,
     "op5_pieces": op5_pieces,
     "op6_language": op6_language,

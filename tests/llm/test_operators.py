@@ -22,6 +22,7 @@ from postlume.llm.eliasfano import EliasFano
 from postlume.llm.graph import components
 from postlume.llm.html import extract_main_text, main_text
 from postlume.llm.language import held_out, identify, learn, suffix_automaton
+from postlume.llm.licenses import KNOWN, license_scan
 from postlume.llm.neardup import _word_lists, edits_within, near_dedup, similar
 from postlume.llm.pieces import PieceModel
 from postlume.llm.pretokens import pretokens, strings
@@ -205,6 +206,17 @@ def test_substring_odd(spark, odd, empty):
     assert substring_dedup(empty).count() == 0
 
 
+def test_licenses(spark, odd, empty):
+    isc = dict(KNOWN)["ISC"]
+    rows = [(1, "Some text.\nreleased under the M.I.T. licence\nReleased under the MIT Licence!\nReleased under the MIT License."),
+            (2, "Copyright (c) 2020, A. N. Other\n\n" + isc.upper().replace("\n", "  \n ")), (3, "This mentions the MIT License only."),
+            (4, "This work is licensed under the GNU GPL v3.0"), (None, "Licensed under CC-BY-NC 4.0"), (4, "All rights reserved"), (5, None)]
+    got = {(r.id, r.license_id, r.whole, r.n_lines) for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, "MIT", False, 1), (2, "ISC", True, 0), (4, "GPL-3.0", True, 1), (4, "LicenseRef-all-rights-reserved", True, 1),
+                   (None, "CC-BY-NC-4.0", True, 1)}
+    assert license_scan(odd).count() == 0 and license_scan(empty).count() == 0
+
+
 def test_quality(spark, odd, empty):
     def lines(n):
         return [" ".join(f"word{i}x{j}" for j in range(11)) + "." for i in range(n)]
@@ -331,4 +343,4 @@ def test_pipeline(spark):
 
 
 def test_every_operator_is_registered():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == [1, 2, 4, 5, 6, 7, 8, 9, 10]
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10]

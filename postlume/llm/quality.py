@@ -66,7 +66,7 @@ def quality_rules(docs: DataFrame, text: str = "text", min_words: int = 20, max_
                   max_loss: float = 0.3) -> DataFrame:
     """The input with the columns of ``RESULTS``: the figures, the text without its bad lines, and
     the verdict."""
-    kept_columns = [c for c in docs.columns if c.lower() not in RESULTS]
+    kept_columns = [f"`{c}`" for c in docs.columns if c.lower() not in RESULTS]
     order, found, covered = _repeated_words()
     hashes = ", ".join(f"get(_q_hash, p + {k})" for k in range(WINDOW))
     frame = (

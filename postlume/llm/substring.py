@@ -243,7 +243,7 @@ def substring_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     results = ["n_words", "n_removed", "kept_sha256"] + ["kept_text"] * with_text
     columns = [c for c in docs.columns if c.lower() not in results]
     keyed = docs.select(
-        *(F.col(c) for c in columns), F.coalesce(F.col(id).cast("long"), F.lit(NO_ID)).alias("_s_id"),
+        *(F.col(f"`{c}`") for c in columns), F.coalesce(F.col(id).cast("long"), F.lit(NO_ID)).alias("_s_id"),
         F.coalesce(F.col(text), F.lit("")).alias("_s_text"))
     keyed = keyed.withColumn("_s_twin", F.expr("cast(xxhash64(_s_text) & 2147483647L as int)"))
     cuts = cut_windows(keyed.select(F.col("_s_id").alias("id"), F.col("_s_twin").alias("twin"),

@@ -342,5 +342,11 @@ def test_pipeline(spark):
     assert out.columns == ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"] and 0 < out.count() < docs.count()
 
 
+def test_odd_column_names(spark):
+    frame = spark.createDataFrame([(1, "some words in a row", 7, 8)], "doc_id long, text string, `a b` int, KEPT int")
+    for out in (quality_rules(frame), near_dedup(frame), substring_dedup(frame), count_tokens(frame, BYTES), encode_pieces(frame, PIECES)):
+        assert out.first()["a b"] == 7 and len({c.lower() for c in out.columns}) == len(out.columns)
+
+
 def test_every_operator_is_registered():
     assert [int(name[2:].split("_")[0]) for name in QUERIES] == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10]

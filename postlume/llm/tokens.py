@@ -8,6 +8,7 @@ driver (a few MB, whatever the input) and sent along with the code.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -18,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlume.llm.bytepairs import BytePairCounter
+from postlume.llm.bytepairs import BytePairCounter, splits_like_the_transducer
 from postlume.llm.eliasfano import EliasFano
 from postlume.llm.graph import shared_folder
 from postlume.llm.pieces import PieceModel, distinct
@@ -29,7 +30,7 @@ from postlume.llm.worker import once
 #: Bytes of text encoded together, ids in a stored segment, and words that an encoder remembers.
 PIECE = 4 << 20
 SEGMENT = 1 << 21
-WORDS = 300_000
+WORDS = 1_000_000
 
 
 def _load(path: str) -> bytes:
@@ -80,8 +81,7 @@ class _WordEncoder:
 
         self.library = Tokenizer.from_buffer(data)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        # Checks that the file splits texts as the transducer does.
-        BytePairCounter(data)
+        splits_like_the_transducer(json.loads(data))
         self.clear()
 
     def clear(self) -> None:
@@ -91,14 +91,17 @@ class _WordEncoder:
     def _known(self, words: list[str]) -> np.ndarray:
         if len(self.number) > WORDS:
             self.clear()
-        new = [w for w in words if w not in self.number]
-        if new:
-            found = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
-            self.ids = np.concatenate([self.ids, np.array([i for ids in found for i in ids], np.uint32)])
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(ids) for ids in found])])
-            for w in new:
-                self.number[w] = len(self.number)
-        return np.array([self.number[w] for w in words], np.int64)
+        at = np.fromiter((self.number.get(w, -1) for w in words), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [words[i] for i in missing.tolist()]
+            found = self.library.encode(new, is_pretokenized=True, add_special_tokens=False)
+            sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(new))
+            self.ids = np.concatenate([self.ids, np.array(found.ids, np.uint32)])
+            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
+            at[missing] = np.arange(len(self.number), len(self.number) + len(new))
+            self.number.update(zip(new, at[missing].tolist()))
+        return at
 
     def encode(self, texts: list[str], last: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with ``last`` behind it, and their numbers."""

@@ -62,7 +62,7 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     connection, sqls = duck(folder), entry.oracle_sql()
     for name, query in entry.queries().items():
-        if only and name not in only:
+        if name not in sqls or (only and name not in only):
             continue
         start = time.time()
         try:

@@ -23,7 +23,7 @@ from postlume.llm.graph import components
 from postlume.llm.html import extract_main_text, main_text
 from postlume.llm.language import held_out, identify, learn, suffix_automaton
 from postlume.llm.licenses import KNOWN, license_scan
-from postlume.llm.neardup import _word_lists, edits_within, near_dedup, similar
+from postlume.llm.neardup import _signatures, _word_lists, edits_within, near_dedup, similar
 from postlume.llm.pieces import PieceModel
 from postlume.llm.pretokens import pretokens, strings
 from postlume.llm.quality import quality_rules
@@ -267,6 +267,29 @@ def test_near_crowd(spark):
     assert {r.class_id for r in got if r.doc_id >= 40} == set(range(40, 60))
 
 
+def test_near_half_similar_crowd(spark):
+    """Few pairs of 0.8 to 0.9 in a crowd around one template: all that share a key, against all pairs."""
+    rng = random.Random(11)
+    template = [f"t{i}" for i in range(150)]
+    texts = []
+    for i in range(60):
+        own = [f"o{i}x{j}" for j in range(50)]
+        texts.append(" ".join(template + own))
+        if i % 3 == 0:
+            changed = rng.sample(range(50), 4)
+            texts.append(" ".join(template + [f"e{i}x{j}" if j in changed else w for j, w in enumerate(own)]))
+    rng.shuffle(texts)
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    keys = [set(k) for part in _signatures(iter([batch]), 2, 1) for k in part.column("keys").to_pylist()]
+    words = _word_lists(pa.array(texts))
+    near = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if similar(words[a], words[b], 0.8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup(docs, samples=2, pick=1).collect()}
+    sharing = [(a, b) for a, b in near if keys[a] & keys[b]]
+    assert len(sharing) >= 10 and all(got[a] == got[b] for a, b in sharing)
+    assert all(i == c or (c, i) in near for i, c in got.items())
+
+
 def test_near_odd(spark, odd, empty):
     got = near_dedup(odd)
     rows = collections.Counter((r.doc_id, r.class_id, r.kept) for r in got.collect())

@@ -5,17 +5,17 @@ names and units stand as typed placeholders. A number is a word with a digit or
 ``NUMBER_WORDS``; a unit is one of ``UNITS`` right after a number; a name is a word with a capital and a
 small letter after it that does not open a sentence, a line or the text, and neighbouring names are one slot. Windows of
 ``WINDOW`` template words are joined by hash; items of fewer words are one window of their own
-length. A bitmap of fixed size, made from the items, keeps all other windows of the documents out of
+length. Windows with more placeholders than words are joined by the values of their slots instead, as
+their template alone says too little. A bitmap of fixed size, made from the items, keeps all other windows of the documents out of
 the shuffle.
 
-A document is contaminated by an item if windows of both run in step over at least ``min_words``
-template words and the slots in step are consistent: one value of the item is always the same value
+A document is contaminated by an item if windows of both cover in step, without a gap, at least
+``min_words`` template words and the slots in step are consistent: one value of the item is always the same value
 of the document, and the other way round. So a question with other numbers or names is found, and
 one that only looks alike is not. Of a shorter item all words are asked for, or all but one from
 ``WINDOW`` + 1 words on, as its first word may be read as a name in the middle of a sentence.
 
-Defined cases: null texts count as empty; windows with more placeholders than words are left out, as
-are items of fewer than ``SHORTEST`` words; an item or a document with a null id is judged like the
+Defined cases: null texts count as empty; items of fewer than ``SHORTEST`` words are left out; an item or a document with a null id is judged like the
 others and keeps its null; rows that repeat a document's id are told apart by their text; repeated
 items each give a row; empty tables give an empty result.
 """
@@ -118,13 +118,16 @@ def _templates(original: pa.Array) -> Iterator[tuple]:
 
 
 def _windows(tokens: np.ndarray, slots: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows of one text each that have enough plain words."""
+    """Places and hashes of the windows of one text each; those of few plain words by their values."""
     if len(tokens) < k:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     hashes = mix(window_hash(tokens, k) + np.uint64(k))
     plain = np.concatenate([[0], np.cumsum(slots == 0)])
-    good = (doc[:len(hashes)] == doc[k - 1:]) & (2 * (plain[k:] - plain[:-k]) >= k)
-    at = np.flatnonzero(good)
+    few = 2 * (plain[k:] - plain[:-k]) < k
+    if few.any():
+        exact = mix(window_hash(np.where(slots > 0, mix(slots), tokens), k) + np.uint64(WINDOW + k))
+        hashes = np.where(few, exact, hashes)
+    at = np.flatnonzero(doc[:len(hashes)] == doc[k - 1:])
     return at, hashes[at]
 
 
@@ -214,11 +217,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
         F.sort_array(F.collect_set("item_at")).alias("places"),
         F.array_distinct(F.flatten(F.collect_set(F.expr(
             "filter(arrays_zip(item_slots, slots), s -> s.slots <> 0)")))).alias("pairs"))
-    # The longest run of neighbouring places, in words.
-    run = F.expr("aggregate(places, struct(-9 as last, 0 as run, 0 as most), (a, p) -> struct(p as last, "
-                 "if(p = a.last + 1, a.run + 1, 1) as run, greatest(a.most, if(p = a.last + 1, a.run + 1, 1)) as most), "
-                 "a -> a.most)")
-    good = step.withColumn("n_words", run + F.col("k") - 1).where(
+    # The longest run of words that the windows cover without a gap.
+    run = F.expr("aggregate(places, struct(cast(null as int) as last, 0 as run, 0 as most), (a, p) -> struct(p as last, "
+                 "if(p <= a.last + k, a.run + p - a.last, k) as run, "
+                 "greatest(a.most, if(p <= a.last + k, a.run + p - a.last, k)) as most), a -> a.most)")
+    good = step.withColumn("n_words", run).where(
         (F.col("n_words") >= F.least(F.lit(min_words), F.greatest(F.col("item_words") - 1, F.least(F.lit(WINDOW), F.col("item_words")))))
         & F.expr("size(array_distinct(transform(pairs, p -> p.item_slots))) = size(pairs)")
         & F.expr("size(array_distinct(transform(pairs, p -> p.slots))) = size(pairs)"))

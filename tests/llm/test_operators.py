@@ -334,6 +334,18 @@ def test_contamination(spark, odd, empty):
     assert contamination(docs, items.limit(0)).count() == 0
 
 
+def test_contamination_numeric_items(spark):
+    """Items full of numbers and units are found as they stand; other values in the dense part are no evidence."""
+    texts = ["What is 3 + 4 * 5 - 6 / 2 ?", "Find the mean of 12, 15, 18, 21, 24, 27 and 30 and round it to one decimal.",
+             "A 5 kg block moves 3 m in 2 s and a 7 kg block moves 4 m in 6 s. Which one is faster?"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [*((i, f"so here we read: {t} and go on with it") for i, t in enumerate(texts)), (3, "What is 8 + 1 * 9 - 7 / 5 ?"),
+            (4, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.id, r.item_id, r.changed) for r in contamination(docs, items).collect())
+    assert got == [(0, 0, False), (1, 1, False), (2, 2, False)]
+
+
 def test_contamination_finds_the_items(spark):
     docs, items = documents(spark), spark.read.parquet(f"{SMALL}/benchmark.parquet")
     want, known = set(), collections.defaultdict(set)

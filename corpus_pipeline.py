@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlume.llm.decontaminate import decontaminate
-from postlume.llm.graph import shared_folder
 from postlume.llm.neardup import near_dedup
 from postlume.llm.quality import quality_rules
 from postlume.llm.substring import substring_dedup
 from postlume.llm.tokens import encode_pieces
+from postlume.session import shared_dir
 
 
 def _as_before(docs: DataFrame, changed: DataFrame, text: str | None = None) -> DataFrame:
@@ -73,7 +73,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")

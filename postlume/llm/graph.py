@@ -2,27 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names; a local session without one gets a folder of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+from postlume.session import shared_dir
 
 
 def stored(frame: DataFrame) -> DataFrame:
     """The frame as a table in the shared folder: its lineage ends there, lost executors or not."""
-    path = f"{shared_folder(frame.sparkSession)}/llm-{uuid.uuid4().hex}"
+    path = f"{shared_dir(frame.sparkSession)}/llm-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 

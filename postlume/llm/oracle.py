@@ -66,4 +66,36 @@ SELECT doc_id, license_id, bool_or(whole) AS whole,
 FROM forms JOIN known USING (form) GROUP BY doc_id, license_id
 """
 
-ORACLE: dict[str, str] = {"op3_license_scan": _OP3, "op8_quality_rules": _OP8}
+_NUMBERS = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+_OP11 = f"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_NUMBERS}),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_inner_product(CAST(a.v AS DOUBLE[]), CAST(b.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positive AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) AS INT) AS rank,
+       p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+     AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+"""
+_OP13 = f"""
+WITH e AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND {_NUMBERS} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.v, b.v) AS score
+  FROM e a JOIN e b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+ORACLE: dict[str, str] = {"op3_license_scan": _OP3, "op8_quality_rules": _OP8, "op11_hard_negatives": _OP11,
+                          "op13_nearest": _OP13}

@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postlume.llm.decontaminate import contamination
+from postlume.llm.hardnegatives import hard_negatives
 from postlume.llm.html import extract_main_text
 from postlume.llm.language import held_out, identify, learn
 from postlume.llm.licenses import license_scan
 from postlume.llm.neardup import near_dedup
+from postlume.llm.nearest import nearest
 from postlume.llm.quality import quality_rules
 from postlume.llm.substring import substring_dedup
 from postlume.llm.tokens import count_tokens, encode_pieces, ids_folder, read_ids, write_ids
+from postlume.llm.vectors import finite
+from postlume.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +85,22 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").where(finite(F.col("embedding")))
+    scaled = rows.select(
+        "vec_id", F.expr("CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END").alias("label"),
+        F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("vector"))
+    return hard_negatives(scaled, F.col("vec_id") % 100 == 0)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_token_counts": op2_token_counts,
@@ -91,4 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_near_dedup": op9_near_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_whitening": op12_whitening,
+    "op13_nearest": op13_nearest,
 }

@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 
 from postlume.llm.bytepairs import BytePairCounter, splits_like_the_transducer
 from postlume.llm.eliasfano import EliasFano
-from postlume.llm.graph import shared_folder
 from postlume.llm.pieces import PieceModel, distinct
 from postlume.llm.pretokens import pretokens, strings
 from postlume.llm.spans import pieces, ranges, utf8
 from postlume.llm.worker import once
+from postlume.session import shared_dir
 
 #: Bytes of text encoded together, ids in a stored segment, and words that an encoder remembers.
 PIECE = 4 << 20
@@ -197,7 +197,7 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ids_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/ids-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
 
 
 def encode_pieces(docs: DataFrame, model: str, text: str = "text", with_ids: bool = False, with_text: bool = False) -> DataFrame:

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def coerce(updates: DataFrame, schema: T.StructType) -> DataFrame:
+def coerce(updates: DataFrame, schema: T.StructType, lenient: bool = False, carry: str | None = None) -> DataFrame:
     """Bring the columns to the types of the target, in its order.
 
+    A value that does not fit is an error, or NULL if ``lenient``. ``carry`` is a further SQL expression.
+
     Timestamps lose their fraction of a second, maps and structs become JSON
     text. Columns the target does not know are an error; absent ones stay absent.
     """
@@ -19,6 +21,7 @@ def coerce(updates: DataFrame, schema: T.StructType) -> DataFrame:
     if unknown:
         raise ValueError(f"columns not in the target: {unknown}")
 
+    cast = "TRY_CAST" if lenient else "CAST"
     have = {f.name: f.dataType for f in updates.schema}
 
     def value(field: T.StructField) -> str:
@@ -26,10 +29,10 @@ def coerce(updates: DataFrame, schema: T.StructType) -> DataFrame:
         if isinstance(have[field.name], (T.MapType, T.StructType)):
             return f"to_json({name}) AS {name}"
         if isinstance(field.dataType, T.TimestampType):
-            return f"date_trunc('second', CAST({name} AS TIMESTAMP)) AS {name}"
-        return f"CAST({name} AS {field.dataType.simpleString()}) AS {name}"
+            return f"date_trunc('second', {cast}({name} AS TIMESTAMP)) AS {name}"
+        return f"{cast}({name} AS {field.dataType.simpleString()}) AS {name}"
 
-    return updates.selectExpr(*[value(f) for f in schema if f.name in have])
+    return updates.selectExpr(*[value(f) for f in schema if f.name in have], *([carry] if carry else []))
 
 
 def merge_frames(target: DataFrame, updates: DataFrame, keys: Sequence[str],

@@ -56,6 +56,31 @@ def top_per_group(rows: DataFrame, group: Sequence[str], order: Sequence[Column]
     return ranked(first, group).drop("_rank")
 
 
+def after(last: tuple | None) -> Column:
+    """Rows that come after ``last``, a (scraped_at, source_id), newest first: a bound that reaches the scan."""
+    if last is None:
+        return F.lit(True)
+    at, id = last
+    undated = F.col("scraped_at").isNull()
+    if at is None:
+        return undated & (F.col("source_id") > F.lit(id))
+    time = F.col("scraped_at")
+    return (time < F.lit(at)) | ((time == F.lit(at)) & (F.col("source_id") > F.lit(id))) | undated
+
+
+def next_candidates(candidates: DataFrame, enriched_keys: DataFrame | None, last: tuple | None,
+                    n: int) -> DataFrame:
+    """(source_id, scraped_at) of the ``n`` newest rows after ``last`` that are not enriched, each once.
+
+    The step of a selection that reads the texts late: what is taken is narrow, and whoever goes on
+    from the last of them sees every row of a (source_id, scraped_at) in one step.
+    """
+    fresh = candidates.where(F.col("source_id").isNotNull() & after(last))
+    if enriched_keys is not None:
+        fresh = not_enriched(fresh, enriched_keys, ["source_id"])
+    return fresh.orderBy(F.col("scraped_at").desc_nulls_last(), "source_id").limit(n).distinct()
+
+
 def pending(candidates: DataFrame, enriched_keys: DataFrame | None, limit: int | None) -> DataFrame:
     """What one provider still has to enrich: one row per id.
 

@@ -37,6 +37,14 @@ def build_session(app_name: str = "postlume", master: str | None = None,
     return builder.getOrCreate()
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes up to which Spark itself broadcasts a side of a join; -1: never."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if text.startswith("-"):
+        return -1
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

@@ -10,20 +10,27 @@ that hold a matched key are rewritten.
 from __future__ import annotations
 
 import json
+import threading
 import uuid
+from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlume import schema as S
 from postlume.operators.modules import target_schema
 from postlume.operators.merge import coerce, merge_frames
+from postlume.session import broadcast_limit
 from postlume.sinks.files import Files
 
 
+#: Writers of one process take turns, by table, once their rows are written.
+_turns: dict[str, threading.Lock] = defaultdict(threading.Lock)
+
+
 class ConcurrentCommit(RuntimeError):
     """Another writer has committed since this one read the table."""
 
@@ -115,18 +122,19 @@ class SnapshotTable:
         missing = [k for k in self.keys if k not in updates.columns]
         if missing:
             raise ValueError(f"updates lack the key columns {missing}")
-        version = self.version()
-        live = self._folders(version)
-
-        staged_folders = self._write(coerce(updates, self.schema))
-        if not staged_folders:
-            return Upserted()
-        present = [f.name for f in self.schema if f.name in updates.columns]
-        staged = self._open(staged_folders).select(*present)
-        rows = staged.count()
+        counted = Observation()
+        staged_folders = self._write(coerce(updates, self.schema).observe(counted, F.count(F.lit(1)).alias("rows")))
+        # Counted by the tasks that write: a task that runs again replaces its count.
+        rows = (counted.get or {}).get("rows") if staged_folders else None
         if not rows:
             return Upserted()
+        present = [f.name for f in self.schema if f.name in updates.columns]
+        with _turns[self.path]:
+            return self._merge(self._open(staged_folders).select(*present), staged_folders, rows, absent_at)
 
+    def _merge(self, staged: DataFrame, staged_folders: list[str], rows: int, absent_at: int | None) -> Upserted:
+        version = self.version()
+        live = self._folders(version)
         touched, matched = [], 0
         if live and (absent_at is None or absent_at != version):
             place = ["c"] + ([self.partition] if self.partition else [])
@@ -143,7 +151,7 @@ class SnapshotTable:
 
         size = sum(self._files.size(f"{self.path}/data/{f}") for f in staged_folders)
         merged = merge_frames(self._open(touched).select(*self.schema.names), staged, self.keys,
-                              small_updates=size <= self._broadcast_limit())
+                              small_updates=size <= broadcast_limit(self.spark))
         if self.partition and len(touched) > 1:
             # Rows of a day together, large days split: no file per task and day.
             merged = merged.hint("rebalance", self.partition)
@@ -158,9 +166,3 @@ class SnapshotTable:
         day = row[self.partition]
         value = "__HIVE_DEFAULT_PARTITION__" if day is None else str(day)
         return f"c={row['c']}/{self.partition}={value}"
-
-    def _broadcast_limit(self) -> int:
-        text = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-        if text.startswith("-"):
-            return -1
-        return int(self.spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))

@@ -51,3 +51,9 @@ def faulty(text, task):
     if text == "slow":
         time.sleep(0.5)
     return good(text, task)
+
+
+def hanging(text, task):
+    if text == "hang":
+        time.sleep(3600)
+    return good(text, task)

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -133,11 +134,102 @@ def test_only_recent_row_groups_are_read(spark, world, plan):
     world.put("red", [post(str(i), i) for i in range(5)])
     wanted = spark.createDataFrame([("4", T0 + timedelta(minutes=4), 1)],
                                    "source_id string, scraped_at timestamp, copies long")
-    posts = selected_posts(world.source("red"), REGISTRY["red"], wanted, T0 + timedelta(minutes=4), False, True)
+    posts = selected_posts(world.source("red"), REGISTRY["red"], wanted, T0 + timedelta(minutes=4), False)
     assert "GreaterThanOrEqual(scraped_at" in plan(posts)
     assert [r.source_id for r in posts.collect()] == ["4"]
 
 
+def scanned(plan, frame):
+    """Columns that the scans of a plan read."""
+    return [part.split(">")[0] for part in plan(frame).split("ReadSchema: struct<")[1:]]
+
+
+def test_selection_starts_without_a_text(spark, world, plan):
+    from postlume.operators.select import next_candidates
+    from postlume.sources.posts import source_keys
+    world.put("red", [post(str(i), i) for i in range(5)])
+    last = (T0 + timedelta(minutes=3), "3")
+    step = next_candidates(source_keys(world.source("red"), REGISTRY["red"]), None, last, 2)
+    assert scanned(plan, step) == ["id:string,scraped_at:timestamp"]
+    assert "LessThan(scraped_at" in plan(step)
+    assert sorted(r.source_id for r in step.collect()) == ["1", "2"]
+
+
+def brute_selection(rows, limit):
+    """ids and rows taken: newest first, those without a text or an id left out."""
+    good = [(r[5] is None, -(r[5] or T0).timestamp(), r[0]) for r in rows if r[0] is not None and r[1] is not None]
+    taken = sorted(good)[:limit]
+    return {t[2] for t in taken}, len(taken)
+
+
+def test_late_reading_fills_the_limit(spark, world):
+    """Most of the newest rows have no text, times tie and are missing, ids repeat."""
+    rng = random.Random(5)
+    rows = [post(rng.choice([f"i{rng.randrange(90)}", None, f"x{i}"]), rng.choice([None, *range(40)]),
+                 None if rng.random() < (0.95 if i % 2 else 0.3) else f"text {i}") for i in range(400)]
+    world.put("red", rows)
+    for limit in (1, 7, 60, 5000):
+        world.target = SnapshotTable(spark, f"{world.target.path}-{limit}")
+        report = world.run(limit=limit, providers="red").providers["red"]
+        ids, n = brute_selection(rows, limit)
+        assert (report.fetched, report.null_ids) == (n, sum(r[0] is None for r in rows))
+        assert {i for _, i in world.rows()} == ids and report.enriched == len(ids)
+    world.put("red", [post(str(i), i, None) for i in range(9)])
+    assert world.run(limit=3, providers="red").providers["red"].skipped == "nothing new"
+    assert world.run(providers="red").providers["red"].skipped == "nothing new"
+
+
+def test_a_bad_record_does_not_stop_the_others(spark, world, tmp_path, monkeypatch):
+    from pyspark.sql import types as T
+
+    from postlume.operators import modules as M
+
+    monkeypatch.setattr(M, "_modules", dict(M._modules))
+    M.register_module(M.Module("number", T.StructType([T.StructField("number", T.IntegerType())]),
+                               transform=lambda df, as_of: df.withColumn("number", F.col("text"))))
+    world.target = SnapshotTable(spark, str(tmp_path / "numbers"))
+    world.put("red", [post("1", 1, "12"), post("2", 2, "many"), post("3", 3, "7"), post("4", 4, "99999999999")])
+    rejects = str(tmp_path / "rejects")
+    report = world.run(providers="red", rejects=rejects).providers["red"]
+    assert (report.fetched, report.enriched, report.rejected, report.skipped) == (4, 2, 2, None)
+    assert {i: r.number for (_, i), r in world.rows().items()} == {"1": 12, "3": 7}
+    assert {(r.source_id, *r.reasons.items()) for r in spark.read.parquet(rejects).collect()} == {
+        ("2", ("number", "many")), ("4", ("number", "99999999999"))}
+
+
+def test_separate_on_all_kinds_of_values(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from postlume.operators.rejects import separate
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType()), T.StructField("d", T.DateType()),
+                           T.StructField("l", T.ArrayType(T.IntegerType())), T.StructField("s", T.StringType())])
+    rows = [("a", "1", "2024-01-02", ["1", None], 1), ("b", "x", "2024-01-02", ["1"], 2), ("c", None, "never", ["y"], 3),
+            (None, "4", None, None, 4), ("e", None, None, ["5", "z"], None)]
+    df = spark.createDataFrame(rows, "k string, n string, d string, l array<string>, s int")
+    good, rejected = separate(df, schema, ["k"], str(tmp_path / "s"), str(tmp_path / "r"), check_keys=True)
+    assert [(r.k, r.n, str(r.d), r.l, r.s) for r in good.collect()] == [("a", 1, "2024-01-02", [1, None], "1")] and rejected() == 4
+    assert {(r.k, *sorted(r.reasons)) for r in spark.read.parquet(str(tmp_path / "r")).collect()} == {
+        ("b", "n"), ("c", "d", "l"), (None, "k"), ("e", "l")}
+    assert good.schema.simpleString() == "struct<k:string,n:bigint,d:date,l:array<int>,s:string>"
+    same, none = separate(df.select("k", "s"), schema, ["k"], str(tmp_path / "unused"))
+    assert same.columns == ["k", "s"] and none() == 0
+
+
+def test_providers_side_by_side(spark, world):
+    for name in ("red", "blue"):
+        world.put(name, [post(str(i), i) for i in range(20)])
+    groups, real = set(), world.source
+
+    def source(name):
+        groups.add(spark.sparkContext.getLocalProperty("spark.jobGroup.id"))
+        return real(name)
+    world.source = source
+    report = world.run(side_by_side=3)
+    assert report.total_enriched == 40 and "KeyError" in report.providers["gone"].skipped
+    assert groups == {"postlume-red", "postlume-blue", "postlume-gone"} and list(report.providers) == ["red", "blue", "gone"]
+    assert len(world.rows()) == 40 and world.run(side_by_side=3).total_enriched == 0
+
+
 def test_stream_in_batches_and_again(spark, world, tmp_path):
     def start(checkpoint):
         stream = spark.readStream.schema(DDL).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))

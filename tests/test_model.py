@@ -1,12 +1,14 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from postlume import schema as S
+from postlume.operators import model as M
 from postlume.operators.model import ModelBackend, annotate_by_model, status_counts
 from postlume.operators.tasks import MODERATION, SENTIMENT, TASKS, TOPIC, with_answer
-from tests.clients import calls, faulty, good, recording
+from tests.clients import calls, faulty, good, hanging, recording
 
 
 def posts(spark, texts, author="ann"):
@@ -102,22 +104,102 @@ def test_answer_schemas_and_temperatures():
         assert schema["required"] == list(schema["properties"]) == task.columns == list(task.defaults)
 
 
-def test_plan_moves_hashes_not_texts(spark, plan, notes, tmp_path):
-    from postlume.operators.model import _asked
-    posts(spark, ["x", "y"]).write.parquet(str(tmp_path / "p"))
+def test_texts_are_hashed_once_and_only_hashes_move(spark, plan, notes, tmp_path):
+    df = posts(spark, ["x", "y", "x"] + [f"t{i}" for i in range(30)])
+    df.write.parquet(str(tmp_path / "p"))
     df = spark.read.parquet(str(tmp_path / "p"))
-    narrow = _asked(df, SENTIMENT, S.KEYS, "text", "author")
-    text = plan(narrow)
-    exchanges = text[text.index("Exchange\n", text.index("(1)")):]
-    assert narrow.columns == ["prompt_hash", "one"] and "partial_min" in text
-    assert not [line for line in exchanges.splitlines() if line.startswith("Arguments: hashpartitioning") and "text" in line]
+    hashes = M._staged_hashes(df, [SENTIMENT, TOPIC], S.KEYS, "text", "author", str(tmp_path / "h"))
+    assert hashes.columns == [*S.KEYS, "_asked", "_hash_sentiment", "_hash_topic"]
+    narrow = hashes.groupBy("_hash_sentiment").agg(F.min(F.struct(*S.KEYS)))
+    assert plan(narrow).split("ReadSchema: ")[1].startswith("struct<source_table:string,source_id:string,_hash_sentiment:string>")
+    # All further plans start from the stored hashes: sha2 is in none of them.
+    seen = []
+    b = backend(notes, tmp_path)
+    original = M._answered
+
+    def spy(hashes, *rest):
+        seen.append(plan(hashes))
+        return original(hashes, *rest)
+    M._answered = spy
+    try:
+        out = annotate_by_model(df, ["sentiment", "topic"], b)
+    finally:
+        M._answered = original
+    assert len(out.collect()) == 33 and "sha2" not in seen[0] + plan(out)
+    assert len(calls(notes)) == 2 * 32
 
 
-def test_calls_are_spread_by_number(spark, notes, tmp_path):
+def test_only_the_folders_of_the_prompts_are_read(spark, plan, notes, tmp_path):
+    b = backend(notes, tmp_path)
+    annotate_by_model(posts(spark, [f"text {i}" for i in range(200)]), ["sentiment"], b).collect()
+    assert not [p for p in (tmp_path / "answers" / "new").rglob("*.parquet")]
+    whole = M.stored_answers(spark, SENTIMENT, b)
+    hashes = M._staged_hashes(posts(spark, ["text 7", "text 8"]), [SENTIMENT], S.KEYS, "text", "author", str(tmp_path / "h"))
+    wanted, prefixes = M._wanted(hashes, SENTIMENT, S.KEYS, str(tmp_path / "w"))
+    few = M.stored_answers(spark, SENTIMENT, b, prefixes)
+    assert len(prefixes) == 2 and "prefix#" in plan(few).split("PartitionFilters: ")[1].split("\n")[0]
+    assert few.count() < 20 < whole.count() == 200
+    assert few.join(wanted, "prompt_hash", "left_semi").count() == 2
+
+
+def test_answers_that_were_not_laid_out_are_found(spark, notes, tmp_path, monkeypatch):
+    b = backend(notes, tmp_path)
+    df = posts(spark, ["a", "b"])
+    real = M.Files.remove
+    monkeypatch.setattr(M.Files, "remove", lambda self, path: None)  # ended before it tidied up
+    annotate_by_model(df, ["sentiment"], b).collect()
+    monkeypatch.setattr(M.Files, "remove", real)
+    got = annotate_by_model(df, ["sentiment"], b).collect()
+    assert len(calls(notes)) == 2 and len(got) == 2 and all(r.sentiment_status == "ok" for r in got)
+
+
+def test_many_misses_move_once_to_the_tasks_that_ask(spark, notes, tmp_path):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = posts(spark, [f"text {i}" for i in range(60)] + ["hot"] * 200)
+        got = annotate_by_model(df, ["sentiment"], backend(notes, tmp_path, calls_per_task=10)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(calls(notes)) == 61 and all(r.sentiment_status == "ok" for r in got) and len(got) == 260
+
+
+def test_calls_in_order_under_a_deadline():
+    started, under_way, most = [], [], []
+
+    def call(prompt):
+        started.append(prompt)
+        under_way.append(prompt)
+        most.append(len(under_way))
+        if prompt % 10 == 3:
+            time.sleep(60)
+        time.sleep(0.02 * (prompt % 3))
+        under_way.remove(prompt)
+        if prompt % 10 == 5:
+            raise RuntimeError
+        return prompt
+
+    begin = time.monotonic()
+    got = list(M.in_order(iter(range(28)), call, 4, 0.5))
+    assert got == [None if i % 10 in (3, 5) else i for i in range(28)] and time.monotonic() - begin < 10
+    assert max(most) <= 4 + 3  # those given up linger, beside four that run
+    # A dead client is not asked for ever.
+    started.clear()
+    assert list(M.in_order(iter([3] * 50), call, 2, 0.1)) == [None] * 50 and len(started) <= 4
+
+
+def test_a_client_that_hangs_does_not_hold_the_run(spark, notes, tmp_path):
+    b = backend(notes, tmp_path, hanging, deadline=1.0, partitions=1)
+    begin = time.monotonic()
+    got = {r.text: r.sentiment_status for r in annotate_by_model(posts(spark, ["a", "hang", "b"]), ["sentiment"], b).collect()}
+    assert got == {"a": "ok", "hang": "failed", "b": "ok"} and time.monotonic() - begin < 60
+
+
+def test_calls_are_spread_by_number(spark, notes, tmp_path, monkeypatch):
+    monkeypatch.setattr(M.Files, "remove", lambda self, path: None)
     b = backend(notes, tmp_path, calls_per_task=5)
     annotate_by_model(posts(spark, [f"text {i}" for i in range(40)]), ["sentiment"], b).collect()
-    files = list((tmp_path / "answers").rglob("part-*.parquet"))
-    assert len(files) >= 4
+    assert len(list((tmp_path / "answers" / "new").rglob("part-*.parquet"))) >= 4
 
 
 def test_blank_and_shared_texts(spark, notes, tmp_path):

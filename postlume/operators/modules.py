@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -46,6 +47,19 @@ def register_module(module: Module) -> Module:
     return module
 
 
+@contextmanager
+def added(*modules: Module) -> Iterator[None]:
+    """Have further modules, for what is planned inside the block."""
+    before = dict(_modules)
+    for module in modules:
+        register_module(module)
+    try:
+        yield
+    finally:
+        _modules.clear()
+        _modules.update(before)
+
+
 def target_schema() -> T.StructType:
     """The enrichment table with the columns of modules added later."""
     known = set(S.ENRICHMENTS.names)

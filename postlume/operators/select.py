@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Bins of time that one pass of ``newest_of_many`` counts; what the driver gets of each.
+BINS = 1 << 14
+
+
 def not_enriched(posts: DataFrame, enriched_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not among ``enriched_keys``; a NULL key never matches.
 
@@ -81,6 +85,60 @@ def next_candidates(candidates: DataFrame, enriched_keys: DataFrame | None, last
     return fresh.orderBy(F.col("scraped_at").desc_nulls_last(), "source_id").limit(n).distinct()
 
 
+def newest_of_many(rows: DataFrame, k: int, folder: str) -> DataFrame:
+    """The first ``k`` of (source_id, scraped_at), newest first, ties by id, folded as by ``pending``, where
+    ``k`` is too large for the rows to meet in one task.
+
+    Passes over the narrow rows count them by time, in bins that get finer around the k-th newest, until
+    its time is known exactly; each pass reads only the times that are still in question. Everything newer is in. Of that
+    very time the smallest ids are: their counts are summed up in ranges of ids, with one
+    number for each range on the driver. ``folder`` is scratch space that all executors reach.
+    """
+    spark = rows.sparkSession
+    time = F.unix_micros("scraped_at")
+    dated = rows.where("scraped_at IS NOT NULL")
+    span = rows.agg(F.min(time).alias("low"), F.max(time).alias("high"), F.count("scraped_at").alias("dated")).first()
+
+    def folded(part: DataFrame) -> DataFrame:
+        return part.groupBy("source_id").agg(F.max("scraped_at").alias("scraped_at"), F.count(F.lit(1)).alias("copies"))
+
+    def between(low: int, high: int) -> Column:
+        # Comparisons with the column itself, so that they reach the scan.
+        return F.col("scraped_at").between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
+
+    if span["dated"] < k:
+        newer, ties, need = dated, rows.where("scraped_at IS NULL"), k - span["dated"]
+    else:
+        low, high, need = span["low"], span["high"], k
+        newest = high
+        while low < high:
+            width = (high - low) // BINS + 1
+            bins = dated.where(between(low, high)).groupBy(F.floor((time - low) / width).cast("long").alias("bin")).count()
+            for bin, n in sorted(map(tuple, bins.collect()), reverse=True):
+                if n >= need:
+                    low, high = low + bin * width, min(high, low + (bin + 1) * width - 1)
+                    break
+                need -= n
+        newer = dated.where(between(low + 1, newest)) if low < newest else dated.where("false")
+        ties = dated.where(between(low, low))
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    # Rows of one id fold first, so that a range is no larger than others because an id is frequent.
+    folded(ties).repartitionByRange(ranges, "source_id").withColumn("_range", F.spark_partition_id()).write.parquet(folder)
+    ranged = spark.read.parquet(folder)
+    before, starts = 0, []
+    for r in sorted(ranged.groupBy("_range").agg(F.sum("copies").alias("n")).collect()):
+        starts.append((r["_range"], before))
+        before += r["n"]
+    start = F.create_map(*[F.lit(x) for pair in starts for x in pair]) if starts else F.create_map(F.lit(-1), F.lit(0))
+    window = Window.partitionBy("_range").orderBy("source_id").rowsBetween(Window.unboundedPreceding, -1)
+    sofar = F.element_at(start, F.col("_range")) + F.coalesce(F.sum("copies").over(window), F.lit(0))
+    reached = [pid for pid, n in starts if n < need]
+    chosen = ranged.where(F.col("_range").isin(reached)).withColumn("_sofar", sofar).where(F.col("_sofar") < need).select(
+        "source_id", "scraped_at", F.least("copies", F.lit(need) - F.col("_sofar")).alias("copies"))
+    return folded(newer).unionByName(chosen).groupBy("source_id").agg(
+        F.max("scraped_at").alias("scraped_at"), F.sum("copies").alias("copies"))
+
+
 def pending(candidates: DataFrame, enriched_keys: DataFrame | None, limit: int | None) -> DataFrame:
     """What one provider still has to enrich: one row per id.
 

@@ -73,6 +73,27 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", title.alias("title"), minutes_in("page_id").alias("scraped_at"))
 
 
+def events_as_crawled(spark: SparkSession, sf_dir: str, provider: Provider) -> DataFrame:
+    """Events in the columns that a crawler's table has; a caption only, a title only, both or neither."""
+    kind, ts = F.col("event_type"), F.col("ts").cast("timestamp")
+
+    def count(kind_of: str) -> Column:
+        return F.when(kind == kind_of, F.floor("value").cast("bigint"))
+
+    columns = {provider.id: F.col("event_id"), "scraped_at": ts}
+    if provider.table == "reddit_posts":
+        columns |= {"title": F.when(kind.isin("click", "view"), F.col("props")), "caption": F.when(kind.isin("view", "signup"), kind)}
+    else:
+        columns[provider.text] = F.when(kind != "error", F.col("props"))
+    for name, value in ((provider.author, F.concat(F.lit("u"), "user_id")), (provider.likes, count("click")),
+                        (provider.shares, count("purchase").cast("string")), (provider.comments, count("signup")),
+                        (provider.views, count("view")), (provider.posted_at, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+                        (provider.keyword, kind), (provider.region, F.nullif(kind, F.lit("view")))):
+        if name:
+            columns[name] = value
+    return table(spark, sf_dir, "events").select(*[value.alias(name) for name, value in columns.items()])
+
+
 SOURCES = {"documents": documents, "conversations": conversations, "pages": pages}
 
 

@@ -342,6 +342,34 @@ def _notations() -> str:
                               for i, e in enumerate(expected))
 
 
+def _crawled(table: str, text: str = "CASE WHEN event_type <> 'error' THEN props END", missing: str = "") -> str:
+    """A source as the target should see it; ``missing`` names what its crawler does not record."""
+    def count(name: str, kind: str) -> str:
+        found = f"CASE WHEN event_type = '{kind}' THEN CAST(floor(value) AS BIGINT) ELSE 0 END"
+        return f"{'CAST(0 AS BIGINT)' if name in missing.split() else found} AS {name}"
+
+    posted = "CAST(NULL AS VARCHAR) AS posted_at" if "posted_at" in missing.split() else stamp("ts", "posted_at")
+    region = "''" if "region" in missing.split() else "CASE WHEN event_type = 'view' THEN '' ELSE event_type END"
+    return f"""
+SELECT '{table}' AS source_table, CAST(event_id AS VARCHAR) AS source_id, {text} AS text, concat('u', user_id) AS author,
+       {count('likes', 'click')}, {count('retweets', 'purchase')}, {count('replies', 'signup')}, {count('views', 'view')},
+       {posted}, event_type AS keyword, {region} AS region, {stamp('ts', 'scraped_at')}, '' AS source_url
+FROM events WHERE {text} IS NOT NULL"""
+
+
+_REDDIT = ("CASE event_type WHEN 'view' THEN concat(props, ' ', event_type) WHEN 'click' THEN props "
+           "WHEN 'signup' THEN event_type END")
+_CRAWLED = " UNION ALL ".join([
+    _crawled("x_tweets"), _crawled("apify_x_tweets"), _crawled("apify_tiktok_posts"),
+    _crawled("instagram_posts", missing="retweets posted_at"),
+    _crawled("reddit_posts", _REDDIT, missing="retweets views region"),
+    _crawled("tiktok_videos", missing="posted_at region"),
+    _crawled("youtube_videos", missing="retweets")])
+
+_SHARED = """SELECT CAST(doc_id AS VARCHAR) AS source_id, lang = 'de' AS blank,
+  CASE lang WHEN 'en' THEN 'the shared text' WHEN 'de' THEN ' ' ELSE text END AS t FROM documents"""
+
+
 ORACLE: dict[str, str] = {
     "engagement_scores": f"""
 SELECT user_id, CAST(day AS VARCHAR) AS day, engagement_score, engagement_rate, virality_score,
@@ -370,6 +398,26 @@ SELECT {TWEET_COLUMNS} FROM (SELECT * FROM ({TWEETS}) WHERE tweet_text IS NOT NU
 SELECT {TWEET_COLUMNS} FROM (SELECT * FROM ({TWEETS}) WHERE tweet_text IS NOT NULL
   AND date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
   ORDER BY scraped_at DESC, tweet_id LIMIT 1000)""",
+    "all_providers": _CRAWLED,
+    "posts_of_stored_days": f"""
+WITH tweets AS ({TWEETS}), worst AS (
+  SELECT date FROM tweets WHERE keyword = 'error' GROUP BY date ORDER BY count(*) DESC, date LIMIT 3)
+SELECT {TWEET_COLUMNS} FROM (SELECT * FROM tweets WHERE tweet_text IS NOT NULL
+  AND date IN (SELECT date FROM worst) ORDER BY scraped_at DESC, tweet_id LIMIT 1000)""",
+    "topk_large": f"""
+SELECT source_id, {stamp('max(t)', 'scraped_at')}, CAST(count(*) AS BIGINT) AS copies FROM (
+  SELECT source_id, t, row_number() OVER (ORDER BY t DESC NULLS LAST, source_id) AS place FROM (
+    SELECT CASE WHEN event_type = 'view' THEN 'hot' ELSE CAST(user_id AS VARCHAR) END AS source_id,
+           CASE WHEN event_type <> 'error' THEN date_trunc('day', ts) END AS t FROM events))
+WHERE place <= (SELECT count(*) // 2 FROM events) GROUP BY source_id""",
+    "rejected_rows": f"""
+WITH r AS (SELECT ts, user_id, CASE WHEN event_type <> 'signup' THEN CAST(event_id AS VARCHAR) END AS source_id,
+    CASE WHEN event_type NOT IN ('error', 'view') THEN CAST(floor(value) AS BIGINT) END AS likes,
+    concat_ws(',', CASE WHEN event_type = 'error' THEN 'likes=none' END, CASE WHEN value < 10 THEN 'scraped_at=soon' END,
+              CASE WHEN event_type = 'signup' THEN 'source_id=no key' END) AS reasons FROM events)
+SELECT 'events' AS source_table, source_id, CASE WHEN reasons = '' THEN likes END AS likes,
+       CASE WHEN reasons = '' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS scraped_at,
+       CASE WHEN reasons = '' THEN CAST(user_id AS VARCHAR) END AS keywords, reasons FROM r""",
     "unenriched_posts": f"""
 SELECT source_table, source_id, author, region, {stamp('scraped_at')} FROM ({DOCUMENTS}) d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
@@ -433,6 +481,20 @@ SELECT 'documents' AS source_table, CAST(doc_id AS VARCHAR) AS source_id,
             THEN 'positive' ELSE 'negative' END AS sentiment_label,
        (length(text) % 100) / 100::DOUBLE AS sentiment_score, 'sentiment' AS sentiment_emotions,
        '' AS sentiment_topics, 'ok' AS sentiment_status FROM documents""",
+    "model_backend_tasks": f"""
+SELECT 'documents' AS source_table, source_id, '' AS people, CASE WHEN blank THEN '' ELSE 'org' END AS organizations,
+  CASE WHEN blank THEN '' ELSE CAST(length(t) % 7 AS VARCHAR) END AS locations, '' AS products, '' AS hashtags,
+  CASE WHEN blank THEN '' ELSE 'entities' END AS mentions, CASE WHEN blank THEN 'blank' ELSE 'ok' END AS entities_status,
+  CASE WHEN NOT blank AND length(t) % 2 = 1 THEN 'Science' ELSE 'Other' END AS primary_category, '' AS sub_categories,
+  CASE WHEN blank THEN 'Unknown' ELSE 'print' END AS industry,
+  CASE WHEN blank THEN '' ELSE CAST(length(t) % 5 AS VARCHAR) END AS keywords,
+  NOT blank AND length(t) % 3 = 0 AS is_commercial, false AS is_news,
+  CASE WHEN blank THEN 'blank' WHEN length(t) % 2 = 1 THEN 'ok' ELSE 'unknown_value' END AS topic_status,
+  blank OR length(t) % 2 = 0 AS is_safe, CASE WHEN blank THEN 'safe' ELSE 'low' END AS risk_level,
+  CASE WHEN blank THEN '' ELSE 'spam' END AS flags, '' AS content_warnings,
+  CASE WHEN blank THEN 'none' ELSE 'flag' END AS recommended_action, 1::DOUBLE AS confidence_score,
+  CASE WHEN blank THEN 'blank' WHEN length(t) % 3 > 0 THEN 'unknown_value' ELSE 'partial' END AS moderation_status
+FROM ({_SHARED})""",
     "run_stats": f"""
 SELECT source_table, count(source_id) AS fetched, count(*) - count(source_id) AS null_ids,
        count(DISTINCT source_id) AS written
@@ -447,6 +509,13 @@ SELECT source_table, source_id, text AS source_text, source_url, replies AS comm
        CAST(NULL AS VARCHAR) AS sentiment_label, engagement_score, engagement_tier, risk_level,
        '1.0.0' AS enrichment_version, '2024-02-01' AS date
 FROM ({engagement(UNION)}) JOIN ({_MODERATED_TEXT}) USING (source_table, source_id)""",
+    "custom_module": f"""
+SELECT source_table, source_id, CAST(length(text) AS INT) AS n_letters,
+       list_contains(regexp_extract_all(lower(text), '\\p{{L}}+'), 'team') AS greets, engagement_score
+FROM ({engagement(DOCUMENTS)})""",
+    "stream_copies": """
+SELECT DISTINCT 'events' AS source_table, CAST(user_id AS VARCHAR) AS source_id, 'seen' AS source_text,
+       'Low' AS engagement_tier, '2024-02-01' AS date FROM events WHERE event_type <> 'error'""",
     "incremental_stream": f"""
 SELECT source_table, source_id, author AS source_author, likes, retweets AS shares,
        replies AS comments, views, {stamp('posted_at')}, engagement_score, time_adjusted_score,

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlume import schema as S
 from postlume.functions import text as X
@@ -17,9 +18,10 @@ from postlume.functions.timestamps import with_posted_instant
 from postlume.operators.balance import spread_small
 from postlume.operators.merge import coerce, merge_frames
 from postlume.operators.model import ModelBackend, annotate_by_model
-from postlume.operators.modules import enrich, switched_on
-from postlume.operators.rules import annotate_by_rules
-from postlume.operators.select import dedup_posts, latest_per_key, not_enriched, pending, top_per_group
+from postlume.operators.modules import Module, added, enrich, switched_on
+from postlume.operators.rejects import separate
+from postlume.operators.rules import annotate_by_rules, register_rule
+from postlume.operators.select import dedup_posts, latest_per_key, newest_of_many, not_enriched, pending, top_per_group
 from postlume.operators.tasks import SENTIMENT, with_answer
 from postlume.plans import inputs as I
 from postlume.plans.job import run, run_statistics
@@ -27,7 +29,7 @@ from postlume.session import shared_dir
 from postlume.sinks.legacy import as_legacy
 from postlume.sinks.snapshot import SnapshotTable
 from postlume.sources.posts import latest_tweets, normalize, tweets_between
-from postlume.sources.providers import registered
+from postlume.sources.providers import Provider, choose, registered
 from postlume.streaming.incremental import start_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,6 +162,29 @@ def posts_by_date_range(spark, sf_dir):
                                date(2024, 1, 10), date(2024, 1, 12), 1000))
 
 
+@query
+def all_providers(spark, sf_dir):
+    """The seven known sources, chosen by name, each read from the events in that crawler's columns."""
+    chosen, unknown = choose(" youtube_videos,x_tweets, apify_x_tweets,apify_tiktok_posts,instagram_posts,"
+                             "reddit_posts,tiktok_videos, nowhere ")
+    if unknown != ["nowhere"] or list(chosen) != list(registered()):
+        raise RuntimeError(f"not as expected: {unknown}, {list(chosen)}")
+    return flat(reduce(DataFrame.unionByName, [
+        normalize(I.events_as_crawled(spark, sf_dir, p), p) for p in chosen.values()]))
+
+
+@query
+def posts_of_stored_days(spark, sf_dir):
+    """Posts in a table stored by day, of the three days with most errors: only those days are read."""
+    folder = scratch(spark)
+    tweets = I.events_as_tweets(spark, sf_dir)
+    tweets.write.partitionBy("date").parquet(folder)
+    stored = spark.read.schema(tweets.schema).parquet(folder)
+    worst = stored.where(F.col("keyword") == "error").groupBy("date").count().orderBy(
+        F.col("count").desc(), "date").limit(3).select("date")
+    return flat(latest_tweets(stored.join(worst, "date"), 1000))
+
+
 # -- selection ------------------------------------------------------------------
 
 @query
@@ -179,6 +204,15 @@ def pending_hot_id(spark, sf_dir):
     return flat(pending(candidates, done, None))
 
 
+@query
+def topk_large(spark, sf_dir):
+    """The newer half of all events by day, so that very many tie: ids with what they have in it."""
+    rows = I.table(spark, sf_dir, "events").select(
+        F.when(F.col("event_type") == "view", F.lit("hot")).otherwise(F.col("user_id").cast("string")).alias("source_id"),
+        F.when(F.col("event_type") != "error", F.date_trunc("day", F.col("ts").cast("timestamp"))).alias("scraped_at"))
+    return flat(newest_of_many(rows, rows.count() // 2, scratch(spark)))
+
+
 @query
 def posted_at_types(spark, sf_dir):
     """Times of publication by the type they have in the source."""
@@ -282,6 +316,27 @@ def sink_coercion(spark, sf_dir):
     return flat(stored.withColumn("source_text", F.get_json_object("source_text", "$.k")))
 
 
+@query
+def rejected_rows(spark, sf_dir):
+    """Events whose values come as text, and not all of them can be stored: what is, and why the rest is not."""
+    folder, kind = scratch(spark), F.col("event_type")
+    rows = I.table(spark, sf_dir, "events").select(
+        F.lit("events").alias("source_table"),
+        F.when(kind != "signup", F.col("event_id").cast("string")).alias("source_id"),
+        F.when(kind == "error", F.lit("none")).when(kind != "view", F.floor("value").cast("string")).alias("likes"),
+        F.when(F.col("value") < 10, F.lit("soon")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("scraped_at"),
+        F.array(F.col("user_id")).alias("keywords"), F.to_date("ts").alias("date"))
+    good, rejected = separate(rows, S.ENRICHMENTS, S.KEYS, f"{folder}/checked", f"{folder}/rejects", check_keys=True)
+    table = SnapshotTable(spark, f"{folder}/table").create()
+    inserted = table.upsert(good).inserted
+    if inserted + rejected() != rows.count():
+        raise RuntimeError(f"not as expected: {inserted} and {rejected()}")
+    stored = flat(table.read().select(*S.KEYS, "likes", "scraped_at", "keywords", F.lit("").alias("reasons")))
+    reasons = F.array_join(F.transform(F.array_sort(F.map_entries("reasons")), lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
+    bad = spark.read.parquet(f"{folder}/rejects").select(*S.KEYS, reasons.alias("reasons"))
+    return stored.unionByName(bad, allowMissingColumns=True)
+
+
 # -- annotation -----------------------------------------------------------------
 
 def _tagged(spark, sf_dir) -> DataFrame:
@@ -378,6 +433,31 @@ def model_backend_fake(spark, sf_dir):
     return flat(annotate_by_model(documents, ["sentiment"], backend).drop("text", "author"))
 
 
+def several_tasks():
+    """A stand-in that answers the other tasks, not always in their vocabulary."""
+    def client(instructions, prompt, answer_schema, task, temperature):
+        text = prompt.split("Post:\n", 1)[1].split("\n\nWritten by: ")[0]
+        n = len(text)
+        return {
+            "entities": {"people": [], "organizations": ["org"], "locations": [str(n % 7)], "products": [],
+                         "hashtags": [], "mentions": [task]},
+            "topic": {"primary_category": "Science" if n % 2 else "Letters", "sub_categories": [], "industry": "print",
+                      "keywords": [str(n % 5)], "is_commercial": n % 3 == 0, "is_news": False},
+            "moderation": {"is_safe": n % 2 == 0, "risk_level": "low", "flags": ["spam", "odd"] if n % 3 else ["spam"],
+                           "content_warnings": [], "recommended_action": "flag"},
+        }[task]
+    return client
+
+
+@query
+def model_backend_tasks(spark, sf_dir):
+    """Three tasks at once; one text is shared by all English documents and German ones are blank."""
+    backend = ModelBackend(several_tasks, "several", answers=scratch(spark))
+    text = F.when(F.col("region") == "en", F.lit("the shared text")).when(F.col("region") == "de", F.lit(" ")).otherwise(F.col("text"))
+    documents = posts(spark, sf_dir, "documents").select(*S.KEYS, text.alias("text"), "author")
+    return flat(annotate_by_model(documents, ["entities", "topic", "moderation"], backend).drop("text", "author"))
+
+
 # -- whole runs -----------------------------------------------------------------
 
 @query
@@ -416,6 +496,34 @@ def enrich_run(spark, sf_dir):
         "engagement_score", "engagement_tier", "risk_level", "enrichment_version", "date"))
 
 
+@query
+def custom_module(spark, sf_dir):
+    """Two modules of one's own beside a built-in one: a transform, and a task of the rule backend."""
+    register_rule("greeting", lambda df, text: df.withColumn("greets", F.array_contains("_hits", "team")), {"team"})
+    size = Module("size", T.StructType([T.StructField("n_letters", T.IntegerType())]),
+                  transform=lambda df, as_of: df.withColumn("n_letters", F.length("text")))
+    greeting = Module("greeting", T.StructType([T.StructField("greets", T.BooleanType())]), task="greeting")
+    with added(size, greeting):
+        on, _ = switched_on(["size", "greeting", "engagement"])
+        return enrich(posts(spark, sf_dir, "documents"), on, I.AS_OF).select(
+            "source_table", "source_id", "n_letters", "greets", "engagement_score")
+
+
+@query
+def stream_copies(spark, sf_dir):
+    """Events as a stream of many files; users stand for posts that are scraped again and again."""
+    folder = scratch(spark)
+    events = I.table(spark, sf_dir, "events").select(
+        "user_id", F.when(F.col("event_type") != "error", F.lit("seen")).alias("text"),
+        F.col("ts").cast("timestamp").alias("scraped_at"))
+    events.repartitionByRange(6, "scraped_at").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    table = SnapshotTable(spark, f"{folder}/table")
+    start_stream(stream, Provider("events", id="user_id", text="text"), table, f"{folder}/checkpoint", modules=["engagement"],
+                 as_of=I.AS_OF, copies_within="3650 days").awaitTermination()
+    return flat(table.read().select("source_table", "source_id", "source_text", "engagement_tier", "date"))
+
+
 @query
 def incremental_stream(spark, sf_dir):
     """Documents as a stream, run to the end of the input, into a stored table."""

@@ -10,6 +10,10 @@ header of the page, footer, sidebar, form, notice, advert, comments; by tag, rol
 Good: inside an article or main element, or long with enough stop words. Bad: long with few stop words. What is left is short and
 undecided.
 
+A page may stand in one form, or in a wrapper whose name looks like that of a sidebar. So if no block outside all
+such elements is content by itself, those forms and named elements that hold more than half of the page's text are layout, and
+pass one is done again without them. Reader comments are none, told by several comments in them.
+
 Pass two gives each undecided block the label of its nearest decided neighbours: of both if they
 agree, else of the nearer one, else bad; headings look down only, as they belong to what follows. On
 a page where nothing is decided nothing speaks against a block, and all are good.
@@ -52,8 +56,9 @@ BAD_NAME = re.compile(
 HEADER_NAME = re.compile(r"(?:^|[_-])header(?=$|[_-])", re.I)
 LAYOUT_NAME = re.compile(r"(?:no|with|without|has|is)[_-]", re.I)
 
-TAG = re.compile(r"<!--.*?(?:-->|$)|<![^>]*(?:>|$)|<\?[^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|$)|<![^>]*(?:>|$)|<\?[^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)([^>=]*(?:=(?:\s*\"[^\"]*\"|\s*'[^']*')?[^>=]*)*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comment\w*|disqus\w*|respond|reply|replies)(?=$|[\s_-])", re.I)
 SPACE = re.compile(r"[\x20\x09-\x0D\xa0]+")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -72,47 +77,80 @@ class Block:
         self.chars = len(text)
 
 
-def _never(tag: str, attributes: str, in_content: bool) -> bool:
+NEVER_AT_ALL, BY_NAME, COMMENT = 1, 2, 3
+
+
+def _never(tag: str, attributes: str, in_content: bool) -> int:
+    """Why an element is no content: by what it is, by a name that may also be that of a layout, or as a comment; else 0."""
     if tag in NEVER or (tag == "header" and not in_content):
-        return True
-    if not attributes or "=" not in attributes:
-        return False
+        return BY_NAME if tag == "form" else NEVER_AT_ALL
+    if not attributes:
+        return 0
+    marks = 0
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "role" and value.lower() in BAD_ROLES:
-            return True
+            marks = marks or (BY_NAME if value.lower() == "form" else NEVER_AT_ALL)
         if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
             for word in value.split():
                 # "has-sidebar" tells of the layout, "article-header" opens the content.
                 if not LAYOUT_NAME.match(word) and (BAD_NAME.search(word) or (not in_content and HEADER_NAME.search(word))):
-                    return True
+                    marks = marks or (COMMENT if COMMENTS.search(word) else BY_NAME)
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:[\s=]|$)", attributes))
+            return NEVER_AT_ALL
+    return NEVER_AT_ALL if re.search(r"(?:^|\s)hidden(?:[\s=]|$)", attributes) else marks
+
+
+class Marked:
+    """An element that may be no content: its number, why, and what is in it."""
+    __slots__ = ("number", "why", "chars", "comments")
 
+    def __init__(self, number: int, why: int, chars: int, comments: int):
+        self.number, self.why, self.chars, self.comments = number, why, chars, comments
 
-def blocks(page: str) -> list[Block]:
-    """The blocks of a page in order, without those of no text."""
+
+def blocks(page: str, layout: frozenset[int] = frozenset(), marked: list[Marked] | None = None) -> list[Block]:
+    """The blocks of a page in order, without those of no text. Elements are numbered in order; those in ``layout`` are
+    no reason to leave out what is in them. ``marked`` is filled with the elements that are one."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, content, never
+    stack: list[tuple[str, bool, bool, bool, Marked | None]] = []  # tag, content, never, heading, mark
+    opened: dict[str, int] = {}
+    unclosed: set[str] = set()
     parts: list[str] = []
     linked, links, content, never, heading = 0, 0, False, False, False
+    number, chars, comments = 0, 0, 0
 
     def end() -> None:
-        nonlocal parts, linked
+        nonlocal parts, linked, chars
         if parts:
             text = SPACE.sub(" ", html.unescape("".join(parts))).strip(" ")
             if text:
                 out.append(Block(text, linked, content, never, heading))
+                chars += len(text)
         parts, linked = [], 0
 
     def leave(n: int) -> None:
-        nonlocal stack, content, never, links, heading
-        for tag, _, _ in stack[n:]:
+        nonlocal content, never, links, heading
+        while len(stack) > n:
+            tag, *_, mark = stack.pop()
+            opened[tag] -= 1
             links -= tag == "a"
-        stack = stack[:n]
-        content, never = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        heading = any(tag in HEADINGS for tag, _, _ in stack)
+            if mark is not None:
+                mark.chars, mark.comments = chars - mark.chars, comments - mark.comments
+        content, never, heading = stack[-1][1:4] if stack else (False, False, False)
+
+    def enter(tag: str, mark: Marked | None = None) -> None:
+        opened[tag] = opened.get(tag, 0) + 1
+        stack.append((tag, content, never, heading, mark))
+
+    def closing(tag: str, at: int) -> int:
+        """Where the next end tag of this kind ends; -1 if there is none."""
+        if tag in unclosed:
+            return -1
+        close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+        if not close:
+            unclosed.add(tag)
+        return close.end() if close else -1
 
     at, n = 0, len(page)
     while at < n:
@@ -131,27 +169,28 @@ def blocks(page: str) -> list[Block]:
             continue
         if found[1]:
             if tag not in INLINE or tag == "a":
-                place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
                 if tag not in INLINE:
                     end()
-                if place >= 0:
-                    leave(place)
+                if opened.get(tag):
+                    leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = close.end() if close else n
+            if not (tag in ("svg", "math") and found[3].endswith("/")):
+                at = closing(tag, at)
+                at = n if at < 0 else at
             continue
         if tag == "br":
             parts.append(" ")
             continue
         if tag in INLINE:
             if tag == "a":
-                stack.append((tag, content, never))
+                if links and stack[-1][0] == "a":
+                    leave(len(stack) - 1)  # links do not nest
+                enter(tag)
                 links += 1
             elif _never(tag, found[3], content):
                 # A hidden or marked inline element hides its text, not the block's.
-                close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = close.end() if close else at
+                at = max(at, closing(tag, at))
             continue
         end()
         if tag in VOID or found[3].endswith("/"):
@@ -165,17 +204,37 @@ def blocks(page: str) -> list[Block]:
                 if stack[i][0] not in INLINE and stack[i][0] != "p":
                     break
         content = content or tag in CONTENT
-        never = never or _never(tag, found[3], content)
         heading = heading or tag in HEADINGS
-        stack.append((tag, content, never))
+        number += 1
+        why, mark = _never(tag, found[3], content), None
+        if why:
+            comments += why == COMMENT
+            if marked is not None:
+                mark = Marked(number, why, chars, comments)
+                marked.append(mark)
+            never = never or number not in layout
+        enter(tag, mark)
     end()
+    leave(0)
     return out
 
 
+def _layout(found: list[Block], marked: list[Marked], long: int, links: float) -> frozenset[int]:
+    """Forms and named elements that hold most of the text of a page that has no content outside of them."""
+    if any(not b.never and b.chars >= long and b.linked <= links * b.chars for b in found):
+        return frozenset()
+    total = sum(b.chars for b in found)
+    return frozenset(m.number for m in marked if m.why != NEVER_AT_ALL and 2 * m.chars > total
+                     and not (m.why == COMMENT and m.comments > 1))
+
+
 def main_text(page: str, stop_words: frozenset[str] = STOP_WORDS, long: int = 70, dense: float = 0.15, sparse: float = 0.05,
               links: float = 0.4, content_links: float = 0.9) -> str:
     """The text of the good blocks, joined by spaces."""
-    found = blocks(page)
+    marked: list[Marked] = []
+    found = blocks(page, marked=marked)
+    if layout := _layout(found, marked, long, links):
+        found = blocks(page, layout)
     labels: list[bool | None] = []
     for b in found:
         words = WORD.findall(b.text.lower()) if not (b.never or b.content) else []

@@ -7,8 +7,9 @@ the language with the least wins (ties: the first by name).
 
 The sample is bounded: ``sample_rows`` rows for each language, picked by a hash of their id among
 those that may be learned from, of at most ``row_chars`` characters each (shorter texts are taken
-first, of longer ones the beginning), ``total_chars`` characters over all languages. Predictions read whole
-texts. Parsing starts anew every ``STRETCH`` characters, so that long texts advance side by side; this
+first, of longer ones the beginning), ``total_bytes`` bytes over all languages. Predictions read whole
+texts. Samples and texts are read as UTF-8, so that the machines know every letter of every script with at most 256
+symbols. Parsing starts anew every ``STRETCH`` bytes, so that long texts advance side by side; this
 adds at most one phrase to a stretch, for each language alike.
 
 Defined cases: texts are compared in lower case, runs of anything but letters as one space; a null
@@ -44,6 +45,10 @@ def _letters(text: str) -> np.ndarray:
     return points[keep]
 
 
+def _utf8(points: np.ndarray) -> np.ndarray:
+    return np.frombuffer(points.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)
+
+
 def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
     """Transitions of the smallest machine that reads exactly the substrings of ``text``; 0 starts."""
     go, link, length, last = [{}], [-1], [0], 0
@@ -75,21 +80,21 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
 
 class CrossParser:
     """The automata of all languages as one table of next states; the phrase bit says that a phrase
-    ended before this character."""
+    ended before this byte."""
 
-    def __init__(self, samples: dict[str, list[str]], total_chars: int):
+    def __init__(self, samples: dict[str, list[str]], total_bytes: int):
         self.languages = sorted(samples)
         texts = {}
         for name in self.languages:
             joined = np.concatenate([np.zeros(1, np.uint32), *(x for t in samples[name] for x in (_letters(t), np.zeros(1, np.uint32)))])
-            texts[name] = joined[:max(1, total_chars // len(self.languages))]
-        alphabet = sorted({c for t in texts.values() for c in t.tolist()} | {0})[:254]
-        self.symbol = np.full(0x110000, len(alphabet), np.uint8)
+            texts[name] = _utf8(joined)[:max(1, total_bytes // len(self.languages))]
+        # UTF-8 has 243 different bytes at most; one symbol is for those that no sample holds.
+        alphabet = np.unique(np.concatenate([np.zeros(1, np.uint8), *texts.values()]))
+        self.symbol = np.full(256, len(alphabet), np.uint8)
         self.symbol[alphabet] = np.arange(len(alphabet))
         width, tables, self.roots, base = len(alphabet) + 1, [], [], 0
         for name in self.languages:
-            text = self.symbol[texts[name]]
-            go = suffix_automaton(text[text < width - 1].tolist())
+            go = suffix_automaton(self.symbol[texts[name]].tolist())
             table = np.full((len(go), width), -1, np.int32)
             for state, edges in enumerate(go):
                 for c, to in edges.items():
@@ -107,8 +112,10 @@ class CrossParser:
         """Bits per character for each text and language, and the letters of each text."""
         points = [_letters(t) for t in texts]
         letters = np.array([int((p > 0).sum()) for p in points], np.int64)
-        length = np.array([len(p) for p in points], np.int64)
-        symbols = self.symbol[np.concatenate([np.zeros(0, np.uint32), *points])]
+        signs = np.array([len(p) for p in points], np.int64)
+        coded = [_utf8(p) for p in points]
+        length = np.array([len(c) for c in coded], np.int64)
+        symbols = self.symbol[np.concatenate([np.zeros(0, np.uint8), *coded])]
         begin = np.cumsum(length) - length
         stretches = -(-length // STRETCH)
         owner = np.repeat(np.arange(len(texts)), stretches)
@@ -126,7 +133,7 @@ class CrossParser:
             phrases[:, :lanes] += to >= _PHRASE
             state[:, :lanes] = to & (_PHRASE - 1)
         total = np.stack([np.bincount(owner, phrases[i], len(texts)) for i in range(n)], axis=1) if n else np.zeros((len(texts), 0))
-        return total * self.weight / np.maximum(length, 1)[:, None], letters
+        return total * self.weight / np.maximum(signs, 1)[:, None], letters
 
 
 def held_out(id: str):
@@ -135,7 +142,7 @@ def held_out(id: str):
 
 
 def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = 48,
-          row_chars: int = 4000, total_chars: int = 64_000) -> CrossParser:
+          row_chars: int = 4000, total_bytes: int = 64_000) -> CrossParser:
     """The parser, from a bounded sample of the rows that are not held out."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(id))
     ranked = rows.select(F.col(lang).alias("lang"), F.substring(text, 1, row_chars).alias("text"), F.col(id).alias("id"),
@@ -145,7 +152,7 @@ def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "
     samples: dict[str, list[str]] = {}
     for row in sorted(picked.collect(), key=lambda r: (r.lang, r.nth)):  # at most sample_rows x row_chars a language
         samples.setdefault(row.lang, []).append(row.text)
-    return CrossParser(samples, total_chars)
+    return CrossParser(samples, total_bytes)
 
 
 def identify(docs: DataFrame, parser: CrossParser, text: str = "text") -> DataFrame:

@@ -23,11 +23,12 @@ line AS (
   WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
 judged AS (
   SELECT r, x, len(lw) AS n,
-         regexp_matches(rtrim(x), '{TERMINAL.replace("'", "''")}')
+         regexp_matches(x, '{TERMINAL.replace("'", "''")}')
          AND len(list_filter(lw, lambda v: regexp_matches(v, '{MARKED}'))) <= (1.0::DOUBLE / 3) * len(lw)
          AND (len(list_filter(lw, lambda v: regexp_matches(v, '{SEPARATOR}'))) < 2
               OR len(list_filter(lw, lambda v: regexp_matches(v, '{SEPARATOR}'))) <= 0.1::DOUBLE * len(lw))
-         AND NOT regexp_matches(x, '{BOILERPLATE}') AS ok
+         AND (NOT regexp_matches(x, '{BOILERPLATE}')
+              OR 20 * len(regexp_extract_all(x, '{BOILERPLATE}')) < len(lw)) AS ok
   FROM line),
 lines AS (
   SELECT r, count(*) - count(DISTINCT x) AS dup, sum(CASE WHEN ok THEN 0 ELSE n END) AS lost

@@ -8,7 +8,8 @@ Rules for a line that has a word:
   ``max_marked`` of its words carry symbols or doubled marks;
 * navigation: it has fewer than ``min_separators`` words that are bare separators, or these are at
   most ``max_separators`` of its words;
-* boilerplate: it has none of the phrases below and no curly brace.
+* boilerplate: phrases below and curly braces are few, one in more than ``boilerplate_words`` words; so they
+  condemn a short line, and not a paragraph that mentions one.
 
 A line that fails one of them is removed. A document is rejected if it fails the base rules (fewer
 than ``min_words`` words, or more than ``max_repeat`` of its words in 8-word windows that it holds
@@ -29,7 +30,7 @@ GAP = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 NOT_SYMBOLS = r"[^#*$%&|<>]+"
 
-TERMINAL = r"[.!?…。！？:;][\"'”’»)\]]*$"
+TERMINAL = (r"[.!?…:;。！？：；।॥؟۔؛።։។။][\"'”’»)\]」』）】》〉]*[\x20\x09-\x0D]*\z")
 MARKED = r"[#*$%&|<>~^=_]|[!?]{2,}"
 SEPARATOR = r"^[|>»•·/\\-]+$"
 SEPARATORS = r"[|>»•·/\\-]"
@@ -63,7 +64,7 @@ def _repeated_words() -> tuple[Column, Column, Column]:
 
 def quality_rules(docs: DataFrame, text: str = "text", min_words: int = 20, max_repeat: float = 0.3,
                   max_marked: float = 1 / 3, min_separators: int = 2, max_separators: float = 0.1,
-                  max_loss: float = 0.3) -> DataFrame:
+                  max_loss: float = 0.3, boilerplate_words: int = 20) -> DataFrame:
     """The input with the columns of ``RESULTS``: the figures, the text without its bad lines, and
     the verdict."""
     kept_columns = [f"`{c}`" for c in docs.columns if c.lower() not in RESULTS]
@@ -87,13 +88,14 @@ def quality_rules(docs: DataFrame, text: str = "text", min_words: int = 20, max_
             "transform(_q_lines, x -> named_struct('x', x, 'w', " + _words("x") + "))"))
         .withColumn("_q_judged", F.expr(
             "transform(_q_judged, l -> named_struct('x', l.x, 'n', size(l.w), 'ok', "
-            "regexp_like(rtrim(l.x), _q_terminal)"
+            "regexp_like(l.x, _q_terminal)"
             f" and (not l.x rlike r'{MARKED}'"
             f" or size(filter(l.w, w -> w rlike r'{MARKED}')) <= {max_marked!r}D * size(l.w))"
             f" and (not l.x rlike r'{SEPARATORS}'"
             f" or size(filter(l.w, w -> w rlike r'{SEPARATOR}')) < {int(min_separators)}"
             f" or size(filter(l.w, w -> w rlike r'{SEPARATOR}')) <= {max_separators!r}D * size(l.w))"
-            f" and not l.x rlike r'{BOILERPLATE}'))"))
+            f" and (not l.x rlike r'{BOILERPLATE}'"
+            f" or {int(boilerplate_words)} * regexp_count(l.x, r'{BOILERPLATE}') < size(l.w))))"))
     )
     # The row number times nothing keeps a filter on the results from being pushed below them: there it
     # would spell out every step of the figures, each as often as it is used.

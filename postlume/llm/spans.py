@@ -1,8 +1,8 @@
 """Words, spans and their hashes over whole Arrow batches of text, in numpy.
 
-A batch is one run of UTF-8 bytes with the offsets of its texts. The hash of a span comes from
-prefix sums of a polynomial modulo 2^64 over random byte values, so that every span of a batch costs
-the same, however long; two independent lanes give 128 bits.
+A batch is one run of UTF-8 bytes with the offsets of its texts. Hashes add up values that a non-linear
+mix makes of each part together with its place, so that no regular pattern of parts cancels out; the two lanes
+mix with other constants and give 128 bits together.
 """
 
 from __future__ import annotations
@@ -13,13 +13,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from postlume.llm.worker import once
-
 #: Bytes worked on at a time; a longer text is one piece of its own.
 PIECE = 4 << 20
 
 _MASK = (1 << 64) - 1
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _WINDOW_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _SEPARATORS = np.zeros(256, bool)
 _SEPARATORS[[0x20, 9, 10, 11, 12, 13]] = True
@@ -77,41 +75,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
-
-
-def _make_table(lane: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte values, and the powers of the base and of its inverse over a block."""
-    base = _BASES[lane]
-    values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_WINDOW_BASES[lane]))
-    return values, _powers(base, _BLOCK), _powers(pow(base, -1, 1 << 64), _BLOCK)
-
-
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0) -> np.ndarray:
-    """64-bit hashes of spans; starts and ends ascend, as those of words do."""
-    values, power, inverse = once(("spans", lane), lambda: _make_table(lane))
-    base, back = _BASES[lane], pow(_BASES[lane], -1, 1 << 64)
-    low, high = np.zeros(len(starts), np.uint64), np.zeros(len(ends), np.uint64)
-    shift, carry = np.ones(len(starts), np.uint64), 0
-    for at in range(0, len(data) + 1, _BLOCK):
-        block = data[at:at + _BLOCK]
-        scale, unscale = pow(base, at, 1 << 64), pow(back, at, 1 << 64)
-        sums = np.empty(len(block) + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(values[block] * power[:len(block)], out=sums[1:])
-        sums *= np.uint64(scale)
-        sums += np.uint64(carry)
-        a, b = np.searchsorted(starts, (at, at + _BLOCK))
-        inside = starts[a:b] - at
-        low[a:b], shift[a:b] = sums[inside], inverse[inside] * np.uint64(unscale)
-        a, b = np.searchsorted(ends, (at, at + _BLOCK))
-        high[a:b] = sums[ends[a:b] - at]
-        carry = int(sums[-1])
-    length = (ends - starts).astype(np.uint64)
-    return mix((high - low) * shift + length * np.uint64(_WINDOW_BASES[lane]))
+    """64-bit hashes of spans: the sum of their mixed eight-byte blocks, each with its place in the span."""
+    base = np.uint64(_WINDOW_BASES[lane])
+    length = ends - starts
+    out = np.zeros(len(starts), np.uint64)
+    blocks = np.cumsum((length + 7) >> 3)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    words = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    for at in range(0, int(blocks[-1]) if len(blocks) else 0, _BLOCK):
+        number = np.arange(at, min(at + _BLOCK, int(blocks[-1])))
+        span = np.searchsorted(blocks, number, "right")
+        place = number - (blocks[span] - ((length[span] + 7) >> 3))
+        first = starts[span] + 8 * place
+        spare = np.uint64(8) * np.maximum(0, 8 - (ends[span] - first)).astype(np.uint64)
+        value = mix((words[first] << spare) ^ mix(place.astype(np.uint64) * _STEP + base))
+        new = np.flatnonzero(np.diff(span, prepend=-1))
+        out[span[new]] += np.add.reduceat(value, new)
+    return mix(out + length.astype(np.uint64) * base)
 
 
 def window_hash(words: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
@@ -128,12 +109,14 @@ def window_hash(words: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
 
 
 def sequence_hash(words: np.ndarray, begin: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
-    """Hashes of the runs begin..end of word hashes."""
-    base = _WINDOW_BASES[lane]
-    sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * _powers(base, len(words))[:len(words)], out=sums[1:])
-    back = _powers(pow(base, -1, 1 << 64), len(words) + 1)
-    return mix((sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64))
+    """Hashes of the runs begin..end of word hashes, which follow each other without overlap."""
+    base = np.uint64(_WINDOW_BASES[lane])
+    place = ranges(np.zeros(len(begin), np.int64), end - begin)
+    value = mix(words[ranges(begin, end - begin)] ^ mix(place.astype(np.uint64) * _STEP + base))
+    sums = np.zeros(len(value) + 1, np.uint64)
+    np.cumsum(value, out=sums[1:])
+    upto = np.cumsum(end - begin)
+    return mix(sums[upto] - sums[upto - (end - begin)] + (end - begin).astype(np.uint64) * base)
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -199,13 +199,14 @@ def _sums(fit: DataFrame, task: Callable[[Iterator[np.ndarray]], np.ndarray], si
                         yield matrix[at:at + _ROWS]
 
         total = task(pieces())
-        yield pa.record_batch([pa.array(np.arange(len(total))), pa.array(list(total), pa.list_(pa.float64()))], ["k", "part"])
+        yield pa.record_batch([pa.array(np.arange(len(total))), *(pa.array(c) for c in total.T)], names)
 
-    parts = fit.select("x").mapInArrow(rows, "k long, part array<double>")
-    summed = parts.select("k", F.posexplode("part").alias("i", "v")).groupBy("k", "i").agg(F.sum("v").alias("v")).collect()
-    out = np.zeros((max((r["k"] for r in summed), default=-1) + 1, size))
+    names = ["k", *(f"c{i}" for i in range(size))]
+    parts = fit.select("x").mapInArrow(rows, ", ".join(["k long", *(f"{c} double" for c in names[1:])]))
+    summed = parts.groupBy("k").agg(*[F.sum(c).alias(c) for c in names[1:]]).collect()
+    out = np.zeros((len(summed), size))
     for r in summed:
-        out[r["k"], r["i"]] = r["v"]
+        out[r["k"]] = r[1:]
     return out
 
 

@@ -9,7 +9,11 @@ length. Windows with more placeholders than words are joined by the values of th
 their template alone says too little. A bitmap of fixed size, made from the items, keeps all other windows of the documents out of
 the shuffle.
 
-A document is contaminated by an item if windows of both cover in step, without a gap, at least
+Whether a word is a name depends on its case and on where lines break, so every window comes in two forms: with names
+as placeholders, and with all words as they are in lower case. The first finds an item with other names, the second one that was
+copied in capitals, in lower case or with other line breaks.
+
+A document is contaminated by an item if, in one of the forms, windows of both cover in step, without a gap, at least
 ``min_words`` template words and the slots in step are consistent: one value of the item is always the same value
 of the document, and the other way round. So a question with other numbers or names is found, and
 one that only looks alike is not. Of a shorter item all words are asked for, or all but one from
@@ -34,6 +38,7 @@ from pyspark.sql import functions as F
 from postlume.llm.spans import LETTERS_ONLY, mix, pieces, span_hash, utf8, window_hash, word_spans
 
 WINDOW = 8
+FORMS = 2
 SHORTEST = 3
 LOG2_BITS = 26
 BLOCK = 1 << 16
@@ -54,7 +59,8 @@ def _hashes(words: list[str]) -> np.ndarray:
 
 
 def _templates(original: pa.Array) -> Iterator[tuple]:
-    """By piece: first text, number of texts, token hashes, slot values (0: a plain word), text of each token."""
+    """By piece: first text, number of texts, and for both forms token hashes, slot values (0: a plain word) and the
+    text of each token."""
     numbers, units = _hashes(NUMBER_WORDS), _hashes(UNITS)
     marks = {kind: mix(np.array([kind], np.uint64))[0] for kind in (1, 2, 3)}
     capital = np.zeros(256, bool)
@@ -71,7 +77,7 @@ def _templates(original: pa.Array) -> Iterator[tuple]:
         low_starts, low_ends, _ = word_spans(low, low_offsets[first:end + 1] - low_offsets[first])
         n = len(starts)
         if not n:
-            yield first, end - first, np.zeros(0, np.uint64), np.zeros(0, np.uint64), doc
+            yield first, end - first, [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), doc)] * FORMS
             continue
 
         def core(text: np.ndarray, a: np.ndarray, b: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,18 +120,20 @@ def _templates(original: pa.Array) -> Iterator[tuple]:
         last = np.ones(n, bool)
         last[:-1] = ~tail[1:]
         keep = solid & last
-        yield first, end - first, token[keep], slot[keep], doc[keep]
+        named = is_name & solid
+        lower = np.where(named, value, token), np.where(named, np.uint64(0), slot), doc
+        yield first, end - first, [(token[keep], slot[keep], doc[keep]), tuple(x[solid] for x in lower)]
 
 
-def _windows(tokens: np.ndarray, slots: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _windows(tokens: np.ndarray, slots: np.ndarray, doc: np.ndarray, k: int, form: int) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the windows of one text each; those of few plain words by their values."""
     if len(tokens) < k:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    hashes = mix(window_hash(tokens, k) + np.uint64(k))
+    hashes = mix(window_hash(tokens, k) + np.uint64(k + (form << 8)))
     plain = np.concatenate([[0], np.cumsum(slots == 0)])
     few = 2 * (plain[k:] - plain[:-k]) < k
     if few.any():
-        exact = mix(window_hash(np.where(slots > 0, mix(slots), tokens), k) + np.uint64(WINDOW + k))
+        exact = mix(window_hash(np.where(slots > 0, mix(slots), tokens), k) + np.uint64(WINDOW + k + (form << 8)))
         hashes = np.where(few, exact, hashes)
     at = np.flatnonzero(doc[:len(hashes)] == doc[k - 1:])
     return at, hashes[at]
@@ -139,21 +147,22 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         ids = batch.column("item_id")
         rows = []
-        for first, n, tokens, slots, doc in _templates(batch.column("text")):
-            edge = np.searchsorted(doc, np.arange(n + 1))
-            size = np.diff(edge)
-            for k in range(SHORTEST, WINDOW + 1):
-                at, hashes = _windows(tokens, slots, doc, k)
-                for i, h in zip(at.tolist(), hashes.tolist()):
-                    d = doc[i]
-                    if size[d] == k or (k == WINDOW and size[d] > k):
-                        rows.append((first + d, h, i - edge[d], size[d], k, slots[i:i + k].view(np.int64).tolist()))
-        owner, hashes, place, size, k, slot = zip(*rows) if rows else ([],) * 6
+        for first, n, forms in _templates(batch.column("text")):
+            for form, (tokens, slots, doc) in enumerate(forms):
+                edge = np.searchsorted(doc, np.arange(n + 1))
+                size = np.diff(edge)
+                for k in range(SHORTEST, WINDOW + 1):
+                    at, hashes = _windows(tokens, slots, doc, k, form)
+                    for i, h in zip(at.tolist(), hashes.tolist()):
+                        d = doc[i]
+                        if size[d] == k or (k == WINDOW and size[d] > k):
+                            rows.append((first + d, h, i - edge[d], size[d], k, slots[i:i + k].view(np.int64).tolist(), form))
+        owner, hashes, place, size, k, slot, form = zip(*rows) if rows else ([],) * 7
         yield pa.record_batch(
             [pa.array(np.array(hashes, np.uint64).view(np.int64)), ids.take(pa.array(owner, pa.int64())),
              pa.array(place, pa.int32()), pa.array(size, pa.int32()), pa.array(k, pa.int32()), pa.array(slot, pa.list_(pa.int64())),
-             pa.array(owner, pa.int64())],
-            ["hash", "item_id", "item_at", "item_words", "k", "item_slots", "row"])
+             pa.array(owner, pa.int64()), pa.array(form, pa.int32())],
+            ["hash", "item_id", "item_at", "item_words", "k", "item_slots", "row", "form"])
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,18 +178,19 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _document_windows(batches: Iterator[pa.RecordBatch], bits: Broadcast, sizes: list[int]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, n, tokens, slots, doc in _templates(batch.column("text")):
-            edge = np.searchsorted(doc, np.arange(n + 1))
+        for first, n, forms in _templates(batch.column("text")):
             columns = [[], [], [], []]
-            for k in sizes:
-                at, hashes = _windows(tokens, slots, doc, k)
-                cell = _cell(hashes)
-                hit = bits.value[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8) & 1 == 1
-                at, hashes = at[hit], hashes[hit]
-                columns[0].append(hashes.view(np.int64))
-                columns[1].append(first + doc[at])
-                columns[2].append(at - edge[doc[at]])
-                columns[3] += [slots[i:i + k].view(np.int64).tolist() for i in at.tolist()]
+            for form, (tokens, slots, doc) in enumerate(forms):
+                edge = np.searchsorted(doc, np.arange(n + 1))
+                for k in sizes:
+                    at, hashes = _windows(tokens, slots, doc, k, form)
+                    cell = _cell(hashes)
+                    hit = bits.value[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8) & 1 == 1
+                    at, hashes = at[hit], hashes[hit]
+                    columns[0].append(hashes.view(np.int64))
+                    columns[1].append(first + doc[at])
+                    columns[2].append(at - edge[doc[at]])
+                    columns[3] += [slots[i:i + k].view(np.int64).tolist() for i in at.tolist()]
             owner = pa.array(np.concatenate(columns[1]))
             yield pa.record_batch(
                 [pa.array(np.concatenate(columns[0])), batch.column("id").take(owner), batch.column("twin").take(owner),
@@ -199,7 +209,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
     windows = items.withColumn("twin", F.xxhash64("text"))
     windows = windows.select(F.struct("item_id", "twin").alias("item_id"), "text").mapInArrow(
         _item_windows, f"hash long, item_id struct<item_id: {kind}, twin: long>, item_at int, item_words int, k int, "
-                       "item_slots array<long>, row long")
+                       "item_slots array<long>, row long, form int")
     sizes = sorted(r.k for r in windows.select("k").distinct().collect())  # at most WINDOW values
     bitmap = np.zeros((1 << LOG2_BITS) // 8, np.uint8)
     for row in windows.select("hash").mapInArrow(_bits, "block long, bits binary").toLocalIterator():
@@ -212,7 +222,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
         lambda batches: _document_windows(batches, bits, sizes),
         f"hash long, id {dict(source.dtypes)['id']}, twin long, at int, slots array<long>")
     step = found.join(windows, "hash").withColumn("shift", F.col("at") - F.col("item_at")).groupBy(
-        "id", "twin", "item_id", "shift").agg(
+        "id", "twin", "item_id", "form", "shift").agg(
         F.first("item_words").alias("item_words"), F.first("k").alias("k"),
         F.sort_array(F.collect_set("item_at")).alias("places"),
         F.array_distinct(F.flatten(F.collect_set(F.expr(

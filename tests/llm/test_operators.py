@@ -463,12 +463,14 @@ def test_contamination(spark, odd, empty):
     item = "If Alice has 12 apples and gives 5 km of rope to Bob then Alice walks 12 miles home quickly today"
     items = spark.createDataFrame([(7, item), (8, None), (9, "too short"), (None, "six plain words make this item")], "item_id long, text string")
     rows = [(1, f"Yesterday I read: {item}. The end."), (2, item.replace("Alice", "Carol Jones").replace("12", "30").replace("Bob", "Dave")),
-            (3, item.replace("Alice walks 12", "Erin walks 31")), (4, item.upper()), (5, "Nothing of the kind is found in here."), (6, None),
+            (3, item.replace("If Alice", "If Erin").replace("Bob", "Dave").replace("walks 12", "walks 31")), (4, item.upper()), (8, item.lower()), (9, item.replace(" Alice", "\nAlice").replace(" Bob", "\nBob")),
+            (10, item.upper().replace("12", "30")), (5, "Nothing of the kind is found in here."), (6, None),
             (None, f"see six plain words make this item {item}")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((str(r.id), str(r.item_id), r.changed) for r in contamination(docs, items).collect())
-    assert got == [("1", "7", False), ("2", "7", True), ("None", "7", False), ("None", "None", False)]
-    assert sorted(str(r.doc_id) for r in decontaminate(docs, items).collect()) == ["3", "4", "5", "6"]
+    assert got == [("1", "7", False), ("10", "7", True), ("2", "7", True), ("4", "7", False), ("8", "7", False), ("9", "7", False),
+                   ("None", "7", False), ("None", "None", False)]
+    assert sorted(str(r.doc_id) for r in decontaminate(docs, items).collect()) == ["3", "5", "6"]
     assert contamination(odd, items).count() == 0 and contamination(empty, items).count() == 0
     assert contamination(docs, items.limit(0)).count() == 0
 
@@ -523,4 +525,4 @@ def test_odd_column_names(spark):
 
 
 def test_every_operator_is_registered():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10]
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))

@@ -134,12 +134,14 @@ def with_answer(df: DataFrame, task: Task, answer: str, asked: str) -> DataFrame
     field that cannot be used takes its default; keys beyond the schema are
     dropped.
     """
-    df = df.withColumns({
-        "_parsed": F.from_json(F.col(answer), task.fields),
-        "_state": F.expr(f"""
-            CASE WHEN NOT {asked} THEN 'blank' WHEN {answer} IS NULL THEN 'failed'
-                 WHEN json_object_keys({answer}) IS NULL THEN 'malformed' ELSE 'usable' END"""),
-    })
+    # One parse tells the fields and whether anything was odd; only an odd answer is parsed again, to see
+    # whether it is an object at all.
+    fields = T.StructType([*task.fields, T.StructField("_odd", T.StringType())])
+    df = df.withColumn("_parsed", F.from_json(
+        F.col(answer), fields, {"columnNameOfCorruptRecord": "_odd", "allowNonNumericNumbers": "false"}))
+    df = df.withColumn("_state", F.expr(f"""
+        CASE WHEN NOT {asked} THEN 'blank' WHEN {answer} IS NULL THEN 'failed' WHEN _parsed IS NULL THEN 'malformed'
+             WHEN _parsed._odd IS NOT NULL AND json_object_keys({answer}) IS NULL THEN 'malformed' ELSE 'usable' END"""))
     columns, unknown, missing = {}, ["false"], []
     for f in task.fields:
         value = accepted = f"_parsed.{f.name}"

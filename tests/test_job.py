@@ -253,6 +253,25 @@ def test_stream_in_batches_and_again(spark, world, tmp_path):
     assert world.rows() == {**first, **{k: v for k, v in world.rows().items() if k[1] == "3"}}
 
 
+def test_copies_in_a_stream_are_known_from_its_state(spark, world, tmp_path, monkeypatch):
+    """Copies in one micro-batch, in a later one and after a restart; the keys of the table are not asked."""
+    def start():
+        stream = spark.readStream.schema(DDL).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        start_stream(stream, REGISTRY["red"], world.target, str(tmp_path / "c"), as_of=AS_OF, copies_within="2 days").awaitTermination()
+
+    def arrive(*rows):
+        spark.createDataFrame(list(rows), DDL).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    monkeypatch.setattr(SnapshotTable, "is_empty", lambda self: pytest.fail("the table was asked"))
+    arrive(post("1", 1, None), post("1", 1, "first"), post("2", 1, "first"))
+    start()
+    arrive(post("1", 600, "again"), post("3", 601, "first"), post(None, 601))
+    start()
+    arrive(post("2", 700, "again"), post("4", 700, "first"))
+    start()
+    assert {i: r.source_text for (_, i), r in world.rows().items()} == dict.fromkeys("1234", "first")
+
+
 def test_nothing_is_lost_silently(world):
     """Rows without an id are counted, bare dates are stored and score nothing, bad scrape times and
     fractions in text do not stop a source."""

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
+from postlume.operators import select as S
 from postlume.operators.select import (dedup_posts, latest_per_key, not_enriched, pending,
                                        top_per_group)
 
@@ -92,3 +93,51 @@ def test_plans(spark, plan, tmp_path):
     assert text.count("WindowGroupLimit") >= 2
     text = plan(pending(df.select("source_id", "scraped_at"), df.select("source_id"), 10))
     assert "TakeOrderedAndProject" in text and "text" not in text.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_newest_of_many_against_brute_force(spark, tmp_path, monkeypatch):
+    """Times tie in large numbers, many are missing, one id is a third of the rows."""
+    monkeypatch.setattr(S, "BINS", 7)
+    rng = random.Random(8)
+    rows = [("hot" if rng.random() < 0.35 else f"i{rng.randrange(200)}", rng.choice([None, rng.randrange(10**7), *range(6)]))
+            for _ in range(3000)]
+    df = candidates(spark, rows).repartition(5)
+    order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    for k in (1, 380, 1500, 2700, 2999, 3000, 9999):
+        expected = {}
+        for i, m in order[:k]:
+            n, newest = expected.get(i, (0, None))
+            expected[i] = (n + 1, m if newest is None else newest if m is None else max(newest, m))
+        got = S.newest_of_many(df, k, str(tmp_path / f"k{k}")).collect()
+        assert {r.source_id: (r.copies, r.scraped_at and int((r.scraped_at.astimezone(timezone.utc) - T0).total_seconds() // 60))
+                for r in got} == expected
+    assert S.newest_of_many(df.limit(0), 5, str(tmp_path / "none")).count() == 0
+
+
+def test_newest_of_many_has_no_single_task(spark, plan, tmp_path):
+    candidates(spark, [(f"i{i}", i % 50) for i in range(500)]).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    text = plan(S.newest_of_many(df, 250, str(tmp_path / "ties")))
+    assert "SinglePartition" not in text and "TakeOrdered" not in text and "GreaterThanOrEqual(scraped_at" in text
+
+
+def test_a_table_stored_by_day_reads_those_days(spark, plan, tmp_path):
+    from datetime import date
+
+    from postlume.sources.posts import latest_tweets, tweets_between
+    names = ("tweet_id", "tweet_text", "author", "author_handle", "keyword", "region")
+    numbers = ("likes", "retweets", "replies", "views")
+    tweets = spark.range(60).select(
+        *[F.col("id").cast("string").alias(n) for n in names], *[F.col("id").alias(n) for n in numbers],
+        F.lit(T0).alias("posted_at"), F.lit(T0).alias("scraped_at"),
+        F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 20).cast("int")).alias("date"))
+    tweets.write.partitionBy("date").parquet(str(tmp_path / "t"))
+    stored = spark.read.schema(tweets.schema).parquet(str(tmp_path / "t"))
+
+    def filters(df):
+        return plan(df).split("PartitionFilters: ")[1].split("\n")[0]
+    few = tweets_between(stored, date(2024, 1, 3), date(2024, 1, 4))
+    assert "date#" in filters(few) and "2024-01-03" in filters(few) and few.count() == 6
+    days = stored.where("keyword = '5'").select("date").distinct()
+    joined = latest_tweets(stored.join(days, "date"))
+    assert "dynamicpruning" in filters(joined) and joined.count() == 3

@@ -20,7 +20,7 @@ def stored(frame: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the links (a, b): the smallest node that it is linked to,
     however far. Each round takes the smallest label among the neighbours, then the label's label."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b"))
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(
         F.least(F.first("a"), F.min("b")).alias("label")))
     while True:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import math
 import random
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from postlume.llm import nearest as N
 from postlume.llm.hardnegatives import hard_negatives
 from postlume.llm.nearest import nearest
+from postlume.llm.queries import op11_hard_negatives
 from postlume.llm.vectors import first_of_groups, integer_products, matrices
 from postlume.llm.whitening import fit_whitening, grid, leading_eigenpairs, minres, whiten
 
@@ -84,6 +86,27 @@ def test_hard_negatives_of_odd_rows(spark):
     assert mined(frame(spark, [(1, [1.0], 1)])) == []
 
 
+def test_hard_negatives_by_contract(spark, tmp_path):
+    """Other rows are all but the anchor's own, whatever ids they carry; scores fill a long."""
+    rows = 2 * random_rows(120, 4) + [(None, [1.0, 1.0, 1.0, 0.5], i % 3) for i in range(4)]
+    rows += [(201, [5e6, 2.0, 0.0, 0.0], 0), (300, [5e6, 1.0, 0.0, 0.0], 0), (304, [4.5e6, 1.0, 0.0, 0.0], 1), (305, [4.7e6, 1.0, 0.0, 0.0], 1)]
+    rows = [(i, [2.1 * x for x in v] if i and i > 200 else v, label) for i, v, label in rows]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    known = [(i, ints(v), (label + 1) % 10 if i is not None and i % 7 == 0 else label) for i, v, label in rows]
+    expected = []
+    for at, (anchor, a, own) in enumerate(known):
+        if anchor is None or anchor % 100:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(a, v)), i is None, i or 0, label) for j, (i, v, label) in enumerate(known) if j != at)
+        for p, no_p, pid, _ in [s for s in scored if s[3] == own][:5]:
+            window = [s for s in scored if s[3] != own and 80 * p >= 100 * s[0] >= 100 * p][:5]
+            expected += [(anchor, None if no_p else pid, rank, None if no_n else nid, -p, -n) for rank, (n, no_n, nid, _) in enumerate(window, 1)]
+    assert max(e[5] for e in expected) > 1 << 61 and any(e[1] == e[0] for e in expected) and any(None in e for e in expected)
+    assert any(1 << 62 < e[4] < 1 << 63 for e in expected)
+    got = map(tuple, op11_hard_negatives(spark, str(tmp_path)).collect())
+    assert collections.Counter(got) == collections.Counter(expected)
+
+
 def test_all_scores_equal(spark):
     rows = [(i, [1.0, 1.0], i % 2) for i in range(400)]
     assert mined(frame(spark, rows), strip=3, column=70) == plain_hard_negatives(rows)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from postlume.llm import nearest as N
 from postlume.llm.hardnegatives import hard_negatives
 from postlume.llm.nearest import nearest
-from postlume.llm.queries import op11_hard_negatives
+from postlume.llm.queries import op11_hard_negatives, op13_nearest
 from postlume.llm.vectors import first_of_groups, integer_products, matrices
 from postlume.llm.whitening import fit_whitening, grid, leading_eigenpairs, minres, whiten
 
@@ -158,6 +158,21 @@ def test_nearest_of_odd_rows(spark):
     assert found_nearest(frame(spark, [(20, [1.0], 1)])) == []
 
 
+def test_nearest_by_contract(spark, tmp_path):
+    """Candidates are all rows but the query's own: rows that share its id count, and rows without one."""
+    rng = np.random.default_rng(4)
+    rows = [(None if i % 5 == 0 else 20 * (i % 7), v) for i, v in enumerate(rng.integers(-4, 5, (200, 4)).astype(float).tolist())]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    rows = [r for r in rows if any(r[1])]
+    expected = []
+    for at, (query, q) in enumerate(rows):
+        if query is not None:
+            scored = sorted((-sum(x * y for x, y in zip(q, v)), i is None, i or 0) for j, (i, v) in enumerate(rows) if j != at)
+            expected += [(query, rank, None if none else i, -s) for rank, (s, none, i) in enumerate(scored[:20], 1)]
+    got = map(tuple, op13_nearest(spark, str(tmp_path)).collect())
+    assert collections.Counter(got) == collections.Counter(expected)
+
+
 def test_bounds_rule_out_most_pairs_and_never_a_near_one(monkeypatch):
     rng = np.random.default_rng(9)
     vectors = rng.standard_normal((4000, 32)) * rng.uniform(0.01, 10, (4000, 1))

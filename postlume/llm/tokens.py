@@ -27,8 +27,10 @@ from postlume.llm.spans import pieces, ranges, utf8
 from postlume.llm.worker import once
 from postlume.session import shared_dir
 
-#: Bytes of text encoded together, ids in a stored segment, and words that an encoder remembers.
+#: Bytes of text worked on together, and where ids are stored, whose encoder takes some 80 bytes for each of them.
 PIECE = 4 << 20
+STORED_PIECE = 1 << 20
+#: Ids in a stored segment, and words that an encoder remembers.
 SEGMENT = 1 << 21
 WORDS = 1_000_000
 
@@ -38,10 +40,10 @@ def _load(path: str) -> bytes:
         return file.read()
 
 
-def _texts(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, list[str]]]:
+def _texts(batch: pa.RecordBatch, column: str, size: int = PIECE) -> Iterator[tuple[int, int, list[str]]]:
     """Runs of texts of a bounded size."""
     texts = batch.column(column)
-    for first, end, _, _ in pieces(*utf8(texts), PIECE):
+    for first, end, _, _ in pieces(*utf8(texts), size):
         yield first, end, [t or "" for t in texts.slice(first, end - first).to_pylist()]
 
 
@@ -158,7 +160,7 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, id: str = "doc_id",
                 ["shard", "segment", "start", "n_ids", "width", "ids", "bounds", "doc_ids"])
 
         for batch in batches:
-            for first, end, texts in _texts(batch, "text"):
+            for first, end, texts in _texts(batch, "text", STORED_PIECE):
                 ids, counts = encoder.encode(texts, last)
                 held_ids.append(ids)
                 held_counts.append(counts)

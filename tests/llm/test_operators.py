@@ -8,6 +8,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 import unicodedata
 import zlib
 
@@ -19,6 +20,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from postlume.llm import tokens
 from postlume.llm.bytepairs import BytePairCounter
 from postlume.llm.decontaminate import contamination, decontaminate
 from postlume.llm.eliasfano import EliasFano
@@ -143,6 +145,18 @@ def test_ids_in_files(spark, odd, empty, tmp_path):
     assert read_ids(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_ids_take_little_memory():
+    """What an encoder holds at once, beside the words that it remembers, stays small whatever comes in a batch."""
+    with open(BYTES, "rb") as file:
+        encoder = tokens._WordEncoder(file.read())
+    batch = pa.record_batch([pa.array(["some words of a text " * 100] * 4000)], ["text"])
+    tracemalloc.start()
+    n = sum(encoder.encode(texts, 2)[1].sum() for _, _, texts in tokens._texts(batch, "text", tokens.STORED_PIECE))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 4000 * 500 and peak < 200 << 20
+
+
 def test_pieces():
     with open(PIECES, "rb") as file:
         proto = file.read()

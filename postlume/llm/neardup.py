@@ -7,17 +7,14 @@ the ``samples`` keys are candidates. At a similarity of 0.8 a pair shares no key
 of (1 - 0.8^4)^20 = 3e-5.
 
 Documents with the same words are one class from the start; only one of each class is compared.
-Within a key nobody is compared with everybody, as that grows with the square of a group. In a round, every key has
-one lead, and all members outside the lead's class meet it. The first rounds take the most central member, whose keys are
-shared most, and those that turn out to be in its class are done with this key: that makes the classes large in a few
-rounds. Then all documents of the keys that still hold several classes are keyed anew, by longer tuples of more
-samples: ``DEEP_PICK`` minima out of a pool of ``POOL``, in text order, ``DEEP_SAMPLES`` times. Half-similar texts, which fill a short key,
-seldom share a long one (a twelfth power of the similarity), so a crowd falls apart, while a pair at 0.8 has about
-five of them in common. In these keys the lead is a member of the smallest class, and it alone is done after its round.
-A key goes on as long as its leads find links, whatever happens in the others.
-A round has at most as many rows as there are members times keys. What is linked is always verified. Two similar
-documents can miss each other if they share no key, or if in all keys they share neither was a lead before a
-round found nothing: that takes a large crowd of texts just below the similarity.
+First come ``ROUNDS`` rounds in which every key has one lead, and all members outside the lead's class meet it: its most
+central member, whose keys are shared most. Those that turn out to be in its class are done with this key. That makes the
+classes large in a few rounds. What is left are the keys that still hold several classes, such as a crowd around one
+template. There every member is compared with every member of another class, in blocks, by sketches: the parities of the
+numbers of k-mers in ``SKETCH`` buckets. Two sketches differ in at most as many places as there are k-mers that only one of
+the documents has, so the pairs that differ in more places than the similarity allows are not similar, and no other pair
+is left out. The pairs that remain are verified, the closest ones of each document first, until each is verified or lies in one class.
+So all candidates end in one class or were found not to be similar. What is linked is always verified.
 
 Two documents are linked if they have at least ``similarity`` of their labelled k-mers in common
 (intersection over union) and word edits of at most 1 - ``similarity`` of the longer one, found inside the band that this
@@ -44,9 +41,10 @@ from postlume.llm.graph import components, stored
 from postlume.llm.spans import LETTERS_ONLY, mix, pieces, sequence_hash, span_hash, utf8, window_hash, word_spans
 
 K = 5
-#: Rounds with central leads, before crowds are keyed anew.
+#: Rounds with central leads, before all members of a key meet.
 ROUNDS = 3
-POOL, DEEP_PICK, DEEP_SAMPLES = 128, 12, 80
+#: Buckets of a sketch, members of a key in a block, rows of a tile.
+SKETCH, BLOCK, TILE = 2048, 4096, 256
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64((1 << 64) - 1)
 
@@ -89,28 +87,17 @@ def _keys(labels: np.ndarray, first: np.ndarray, samples: int, pick: int) -> np.
     return out
 
 
-def _deep_keys(labels: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Keys of each document from tuples of minima, one for each permutation of a pool."""
-    sizes = np.diff(np.append(first, len(labels)))
-    owner = np.repeat(np.arange(len(first)), sizes)
-    places = np.empty((POOL, len(first)), np.int64)
-    for turn in range(POOL):
-        rank = mix(labels + np.uint64(int(_STEP) * (turn + 1001) % (1 << 64)))
-        hit = np.flatnonzero(rank == np.minimum.reduceat(rank, first)[owner])
-        places[turn] = hit[np.searchsorted(hit, first)]
-    rng = np.random.default_rng(12)
-    out = np.empty((len(first), DEEP_SAMPLES), np.uint64)
-    for sample in range(DEEP_SAMPLES):
-        chosen = np.sort(places[rng.choice(POOL, DEEP_PICK, replace=False)], axis=0)
-        key = np.full(len(first), sample, np.uint64)
-        for place in chosen:
-            key = mix(key * _STEP + labels[place])
-        out[:, sample] = key
-    return out
+def _sketches(labels: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A row of bits for each document: whether an odd number of its k-mers falls into a bucket."""
+    owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(labels))))
+    place = owner * SKETCH + (mix(labels) % np.uint64(SKETCH)).astype(np.int64)
+    odd = np.zeros(len(first) * SKETCH, np.uint8)
+    np.add.at(odd, place, 1)  # modulo 256, which keeps parities
+    return np.packbits((odd & 1).reshape(-1, SKETCH), axis=1)
 
 
-def _rekeyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, key) of texts that come as (id, text)."""
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, size, sketch) of texts that come as (id, text); size is their number of k-mers."""
     for batch in batches:
         for a, _, data, offsets in pieces(*utf8(pc.utf8_lower(batch.column("text")))):
             starts, ends, doc = word_spans(data, offsets, LETTERS_ONLY)
@@ -120,9 +107,48 @@ def _rekeyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             owners = doc[inside]
             first = np.flatnonzero(np.diff(owners, prepend=-1))
-            keys = _deep_keys(_labelled(kmers[inside], owners), first)
-            node = np.repeat(a + owners[first], DEEP_SAMPLES)
-            yield pa.record_batch([batch.column("id").take(pa.array(node)), pa.array(keys.reshape(-1).view(np.int64))], ["node", "key"])
+            rows = _sketches(_labelled(kmers[inside], owners), first)
+            yield pa.record_batch([batch.column("id").take(pa.array(a + owners[first])), pa.array(np.diff(np.append(first, len(owners)))),
+                                   pa.array([row.tobytes() for row in rows], pa.binary())], ["node", "size", "sketch"])
+
+
+def _close(similarity: float):
+    """The pairs of members of one key and of different classes whose sketches do not rule out the similarity.
+    A table holds all members of some keys, or two blocks of one, whose own pairs are in other tables."""
+    def cell(table: pa.Table) -> pa.Table:
+        key, label = table.column("key").to_numpy(), table.column("label").to_numpy()
+        order = np.lexsort((label, key))
+        table = table.take(pa.array(order))
+        key, label, node, size, block = (table.column(c).to_numpy() for c in ("key", "label", "node", "size", "block"))
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(key), -1)
+        across = len(key) > 0 and table.column("s")[0].as_py() != table.column("t")[0].as_py()
+        edge = np.concatenate([np.flatnonzero(np.diff(key, prepend=~key[:1])), [len(key)]])
+        lows, highs, aparts = [], [], []
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            if label[a] == label[b - 1]:
+                continue
+            signs = np.unpackbits(sketch[a:b], axis=1).astype(np.float32) * 2 - 1
+            for i in range(a, b, TILE):
+                end = min(i + TILE, b)
+                # Classes ascend, so those of higher classes than the first row's come last.
+                j = i + int(np.searchsorted(label[i:b], label[i], "right"))
+                if j == b:
+                    continue
+                differ = (SKETCH - signs[i - a:end - a] @ signs[j - a:].T) / 2
+                both = (size[i:end, None] + size[None, j:b]).astype(np.float64)
+                # k-mers that only one has: at most (1 - similarity) / (1 + similarity) of both documents' k-mers.
+                near = (differ * (1 + similarity) <= both * (1 - similarity) + 1e-6) & (label[i:end, None] < label[None, j:b])
+                near &= np.abs(size[i:end, None] - size[None, j:b]) * (1 + similarity) <= both * (1 - similarity) + 1e-6
+                if across:
+                    near &= block[i:end, None] != block[None, j:b]
+                x, y = np.nonzero(near)
+                lows.append(i + x)
+                highs.append(j + y)
+                aparts.append(differ[x, y] / both[x, y])
+        low, high = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (lows, highs))
+        return pa.table({"node": node[high], "lead": node[low], "label": label[high], "lead_label": label[low],
+                         "apart": np.concatenate([np.zeros(0), *aparts])})
+    return cell
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], samples: int, pick: int) -> Iterator[pa.RecordBatch]:
@@ -261,37 +287,45 @@ def near_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", simila
         classes = components(reduce(DataFrame.union, links))
         links[:] = [classes.select(F.col("node").alias("a"), F.col("label").alias("b"))]
 
-    def mixed(open_keys: DataFrame) -> DataFrame:
-        """The rows of keys that hold several classes."""
-        several = stored(open_keys.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
-            "low < high").select("key"))
-        return stored(open_keys.join(several, "key"))
-
-    by_now = keyed.where("count > 2").select("key", "node")
-    if links:
-        by_now = by_now.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    else:
-        by_now = by_now.withColumn("label", F.col("node"))
-    by_now = stored(by_now)
-    rest = stored(mixed(by_now).select("node", "label").distinct())
-    if not rest.isEmpty():
-        again = texts.join(rest.select(F.col("node").alias("id")).hint("shuffle_hash"), "id").mapInArrow(_rekeyed, "node long, key long")
-        open_keys = mixed(stored(again.join(rest, "node")))
-        while True:
-            sizes = open_keys.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("node").alias("lead"))
-            lead = stored(sizes.groupBy("key").agg(F.min(F.struct("n", "label", "lead")).alias("least")).select(
-                "key", "least.lead", F.col("least.label").alias("lead_label")))
-            led, found = met(open_keys, lead)
-            if found is None:
-                break
-            if found.isEmpty():
-                links.pop()
-                break
-            # A class goes over into that of a lead as a whole, so that few keys go on for links that are known.
-            grouped = found.groupBy("label").agg(F.min("lead_label").alias("now"))
-            linked = lead.join(found.select("lead").distinct(), "lead").select("key", F.col("lead").alias("gone"))
-            left = open_keys.join(linked, "key").where("node <> gone").drop("gone").join(grouped, "label", "left")
-            open_keys = mixed(stored(left.withColumn("label", F.coalesce("now", "label")).drop("now")))
+    def by_class(frame: DataFrame, node: str, label: str) -> DataFrame:
+        """The frame with the class of ``node`` by now as ``label``."""
+        frame = frame.drop(label)
+        if not links:
+            return frame.withColumn(label, F.col(node))
+        return frame.join(classes.toDF(node, label), node, "left").withColumn(label, F.coalesce(label, node))
+
+    # The keys that hold several classes by now, and all pairs of their members that may be similar.
+    by_now = stored(by_class(keyed.where("count > 2").select("key", "node"), "node", "label"))
+    several = stored(by_now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where(
+        "low < high").select("key", F.expr(f"(n + {BLOCK - 1}) DIV {BLOCK}").alias("blocks")))
+    crowded = stored(by_now.join(several, "key"))
+    members = crowded.count()
+    if members:
+        rest = stored(crowded.select(F.col("node").alias("id")).distinct())
+        sketched = stored(texts.join(rest.hint("shuffle_hash"), "id", "left_semi").mapInArrow(
+            _sketched, "node long, size long, sketch binary").dropDuplicates(["node"]))
+        # Small keys share a table; of a large one each pair of blocks has one.
+        dealt = crowded.withColumn("block", F.expr("pmod(xxhash64(node), blocks)")).withColumn("pair", F.explode(F.expr(
+            "transform(sequence(0, blocks - 1), other -> struct(least(other, block) AS s, greatest(other, block) AS t))"))).select(
+            "key", "node", "label", "block", "pair.s", "pair.t", F.col("blocks") > 1,
+            F.expr(f"IF(blocks > 1, key, pmod(xxhash64(key), {-(-members // BLOCK)}))")).toDF(
+            "key", "node", "label", "block", "s", "t", "large", "bucket")
+        close = dealt.join(sketched, "node").groupBy("bucket", "large", "s", "t").applyInArrow(
+            _close(similarity), "node long, lead long, label long, lead_label long, apart double")
+        pairs = stored(close.groupBy("node", "lead").agg(*(F.min(c).alias(c) for c in ("label", "lead_label", "apart"))))
+        width = 2
+        while not pairs.isEmpty():
+            order = Window.partitionBy("node").orderBy("apart", "lead")
+            ranked = stored(pairs.withColumn("turn", F.row_number().over(order)))
+            found = compared(ranked.where(F.col("turn") <= width))
+            left = ranked.where(F.col("turn") > width).drop("turn")
+            if not found.isEmpty():
+                links.append(found.select(F.col("node").alias("a"), F.col("lead").alias("b")))
+                classes = components(reduce(DataFrame.union, links))
+                links[:] = [classes.select(F.col("node").alias("a"), F.col("label").alias("b"))]
+                left = by_class(by_class(left, "node", "label"), "lead", "lead_label")
+            pairs = stored(left.where("label <> lead_label").select("node", "lead", "label", "lead_label", "apart"))
+            width *= 16
     # Rows that repeat an id link their classes, as the documents that were found similar do.
     twins = stored(member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("a", "b"))
     if len(links) > 1 or not links or not twins.isEmpty():

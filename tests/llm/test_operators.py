@@ -20,7 +20,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from postlume.llm import tokens
+from postlume.llm import neardup, tokens
 from postlume.llm.bytepairs import BytePairCounter
 from postlume.llm.decontaminate import contamination, decontaminate
 from postlume.llm.eliasfano import EliasFano
@@ -418,6 +418,28 @@ def test_near_half_similar_crowd(spark):
     assert all(i == c or (c, i) in near for i, c in got.items())
 
 
+@pytest.mark.parametrize("block", [4096, 40])
+def test_near_crowd_around_the_similarity(spark, monkeypatch, block):
+    """A crowd just below the similarity, where only some pairs are above it, equals all pairs."""
+    rng = random.Random(5)
+    template, texts = [f"t{i}" for i in range(200)], []
+    for i in range(150):
+        changed = rng.sample(range(200), 3)
+        texts.append(" ".join(f"c{i}x{j}" if j in changed else w for j, w in enumerate(template)))
+    words = _word_lists(pa.array(texts))
+    label = list(range(len(texts)))
+    near = [(a, b) for a in label for b in label[a + 1:] if similar(words[a], words[b], 0.8)]
+    assert 0 < len(near) < 500
+    for _ in texts:
+        for a, b in near:
+            label[a] = label[b] = min(label[a], label[b])
+    assert 10 < len(set(label)) < 140
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup(docs).collect()}
+    assert got == dict(enumerate(label))
+
+
 def thue_morse(a: str, b: str, n: int) -> list[str]:
     out = [a]
     while len(out) < n:
